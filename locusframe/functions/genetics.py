@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from locusframe.functions.sharing import once
+
 
 def genotype_counts(genotypes: Column) -> Column:
     """struct(hom_ref, het, hom_alt) over samples with two called alleles.
@@ -12,19 +14,23 @@ def genotype_counts(genotypes: Column) -> Column:
     Samples with a missing allele (-1), no call, or another ploidy are left out. An allele
     above 0 counts as the alternate allele, so 1/2 is hom_alt.
     """
-    alts = F.transform(
-        F.filter(
-            genotypes,
-            lambda g: (F.size(g["calls"]) == 2) & ~F.exists(g["calls"], lambda a: a < 0),
-        ),
-        lambda g: F.size(F.filter(g["calls"], lambda a: a > 0)),
-    )
-
-    def having(n: int) -> Column:
-        return F.size(F.filter(alts, lambda a: a == n))
 
-    return F.struct(
-        having(0).alias("hom_ref"), having(1).alias("het"), having(2).alias("hom_alt")
+    def alternate_alleles(sample: Column) -> Column:
+        first, second = F.get(sample["calls"], F.lit(0)), F.get(sample["calls"], F.lit(1))
+        called = (F.size(sample["calls"]) == 2) & (first >= 0) & (second >= 0)
+        return F.when(called, (first > 0).cast("int") + (second > 0).cast("int")).otherwise(-1)
+
+    def count(codes: Column, n: int) -> Column:
+        # Plain array functions are compiled; a filter with a lambda is interpreted.
+        return F.size(codes) - F.size(F.array_remove(codes, n))
+
+    return once(
+        F.transform(genotypes, alternate_alleles),
+        lambda codes: F.struct(
+            count(codes, 0).alias("hom_ref"),
+            count(codes, 1).alias("het"),
+            count(codes, 2).alias("hom_alt"),
+        ),
     )
 
 
@@ -38,78 +44,83 @@ def hwe_test(hom_ref: Column, het: Column, hom_alt: Column, mid_p: bool = False)
     probabilities scaled by that highest value, so nothing overflows however large n is.
     Null when there is no called genotype.
     """
-    ref, mid, alt = (c.cast("long") for c in (hom_ref, het, hom_alt))
-    n = ref + mid + alt
-    rare = 2 * F.least(ref, alt) + mid
-    common = 2 * n - rare
-    lowest = rare % 2
-    # One entry per step h -> h+2. ``sequence`` counts down when its end is below its start.
-    steps = F.when(rare >= 2, F.sequence(lowest, rare - 2, F.lit(2).cast("long"))).otherwise(
-        F.array().cast("array<bigint>")
+    counts = F.struct(
+        hom_ref.cast("long").alias("ref"), het.cast("long").alias("het"), hom_alt.cast("long").alias("alt")
     )
 
-    def log_ratio(h: Column) -> Column:
-        r, c = (rare - h) / 2, (common - h) / 2
-        return F.log(4.0 * r * c / ((h + 2.0) * (h + 1.0)))
+    def with_sizes(c: Column) -> Column:
+        n = c["ref"] + c["het"] + c["alt"]
+        rare = 2 * F.least(c["ref"], c["alt"]) + c["het"]
+        return F.struct(c["het"].alias("het"), n.alias("n"), rare.alias("rare"))
 
-    zero = F.lit(0.0)
+    sizes = once(counts, with_sizes)
+    return once(sizes, lambda s: F.when(s["n"] > 0, _exact_test(s["n"], s["rare"], s["het"], mid_p)))
 
-    def first_walk(acc: Column, h: Column) -> Column:
-        now = acc["now"] + log_ratio(h)
-        return F.struct(
-            now.alias("now"),
-            F.greatest(acc["top"], now).alias("top"),
-            F.when(h + 2 == mid, now).otherwise(acc["seen"]).alias("seen"),
-        )
 
-    peak = F.aggregate(
-        steps,
-        F.struct(zero.alias("now"), zero.alias("top"), zero.alias("seen")),
-        first_walk,
+def _exact_test(n: Column, rare: Column, het: Column, mid_p: bool) -> Column:
+    common = 2 * n - rare
+    # One entry per step h -> h+2. ``sequence`` counts down when its end is below its start.
+    steps = F.when(rare >= 2, F.sequence(rare % 2, rare - 2, F.lit(2).cast("long"))).otherwise(
+        F.array().cast("array<bigint>")
     )
+    zero = F.lit(0.0)
     # Outcomes as likely as the observed one must count despite rounding in the sums of logs.
     slack = F.lit(1e-9)
 
-    def at_most(log_p: Column, bound: Column) -> Column:
-        return log_p <= bound + slack
-
-    def second_walk(acc: Column, h: Column) -> Column:
-        now = acc["now"] + log_ratio(h)
-        p = F.exp(now - acc["top"])
-        return F.struct(
-            now.alias("now"),
-            acc["top"].alias("top"),
-            acc["seen"].alias("seen"),
-            (acc["total"] + p).alias("total"),
-            (acc["tail"] + F.when(at_most(now, acc["seen"]), p).otherwise(zero)).alias("tail"),
+    def after_step(acc: Column, h: Column) -> Column:
+        """log P(h+2) relative to the lowest outcome, from the same for h."""
+        r, c = (rare - h) / 2, (common - h) / 2
+        return acc["log_p"] + F.log(4.0 * r * c / ((h + 2.0) * (h + 1.0)))
+
+    def look(acc: Column, h: Column) -> Column:
+        return once(
+            after_step(acc, h),
+            lambda now: F.struct(
+                now.alias("log_p"),
+                F.greatest(acc["top"], now).alias("top"),
+                F.when(h + 2 == het, now).otherwise(acc["seen"]).alias("seen"),
+            ),
         )
 
-    at_lowest = F.exp(-peak["top"])
-    sums = F.aggregate(
-        steps,
-        F.struct(
-            zero.alias("now"),
-            peak["top"].alias("top"),
-            peak["seen"].alias("seen"),
-            at_lowest.alias("total"),
-            F.when(at_most(zero, peak["seen"]), at_lowest).otherwise(zero).alias("tail"),
-        ),
-        second_walk,
-        lambda acc: F.struct(
-            acc["tail"].alias("tail"),
-            acc["total"].alias("total"),
-            F.exp(acc["seen"] - acc["top"]).alias("observed"),
-        ),
+    def add_up(peak: Column) -> Column:
+        def share(log_p: Column) -> Column:
+            return F.exp(log_p - peak["top"])
+
+        def tail_share(log_p: Column) -> Column:
+            return F.when(log_p <= peak["seen"] + slack, share(log_p)).otherwise(zero)
+
+        def add(acc: Column, h: Column) -> Column:
+            return once(
+                after_step(acc, h),
+                lambda now: F.struct(
+                    now.alias("log_p"),
+                    (acc["total"] + share(now)).alias("total"),
+                    (acc["tail"] + tail_share(now)).alias("tail"),
+                ),
+            )
+
+        start = F.struct(
+            zero.alias("log_p"), share(zero).alias("total"), tail_share(zero).alias("tail")
+        )
+
+        def p_value(acc: Column) -> Column:
+            tail = acc["tail"] - share(peak["seen"]) / 2 if mid_p else acc["tail"]
+            return F.least(tail / acc["total"], F.lit(1.0))
+
+        return F.aggregate(steps, start, add, p_value)
+
+    peak = F.aggregate(
+        steps, F.struct(zero.alias("log_p"), zero.alias("top"), zero.alias("seen")), look
     )
-    tail = sums["tail"] - sums["observed"] / 2 if mid_p else sums["tail"]
-    result = F.struct(
+    return F.struct(
         (rare * common / (2.0 * n - 1.0) / n).alias("hetFreqHwe"),
-        F.least(tail / sums["total"], F.lit(1.0)).alias("pValueHwe"),
+        once(peak, add_up).alias("pValueHwe"),
     )
-    return F.when(n > 0, result)
 
 
 def hardy_weinberg(genotypes: Column, mid_p: bool = False) -> Column:
     """The exact test applied to a genotype array column."""
-    counts = genotype_counts(genotypes)
-    return hwe_test(counts["hom_ref"], counts["het"], counts["hom_alt"], mid_p)
+    return once(
+        genotype_counts(genotypes),
+        lambda n: hwe_test(n["hom_ref"], n["het"], n["hom_alt"], mid_p),
+    )

@@ -22,8 +22,8 @@ class Interval(NamedTuple):
 
 def normalize_contig(contig: Column) -> Column:
     """One spelling per contig: without the ``chr`` prefix, mitochondria as ``M``."""
-    bare = F.regexp_replace(contig, "^chr", "")
-    return F.when(bare == "MT", F.lit("M")).otherwise(bare)
+    bare = F.when(contig.startswith("chr"), F.substring(contig, 4, 1_000_000)).otherwise(contig)
+    return F.when(contig.isin("MT", "chrMT"), F.lit("M")).otherwise(bare)
 
 
 def is_valid(iv: Interval) -> Column:

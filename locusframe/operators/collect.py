@@ -2,39 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusframe.operators.sinks import PART
 
-def concat_text(spark: SparkSession, path: str, keep_empty: bool = False) -> DataFrame:
-    """(fqn, result): the lines of each file joined without a separator.
 
-    A file is one input split, read whole by one task, so nothing is shuffled. An empty file gives
-    no row, or with ``keep_empty`` a row with an empty text.
+def _part_number(path: Column) -> Column:
+    """Partition of a file: its ``part_id=<n>`` folder, or else the number in its name."""
+    folder = F.regexp_extract(path, rf"{PART}=(\d+)/[^/]*$", 1)
+    name = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1)
+    return F.coalesce(F.nullif(folder, F.lit("")), F.nullif(name, F.lit("")), F.lit("0")).cast("int")
+
+
+def concat_text(spark: SparkSession, path: str) -> DataFrame:
+    """(part_id, fqn, result): the lines of each file joined without a separator.
+
+    A file is one input split, read whole by one task, so nothing is shuffled. An empty file
+    gives no row.
     """
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .text(path, wholetext=True)
-        .select(
-            F.col("_metadata.file_path").alias("fqn"),
-            F.regexp_replace("value", "\r?\n", "").alias("result"),
-            (F.col("value") == "").alias("empty"),
-        )
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    fqn = F.col("_metadata.file_path")
+    return files.filter(F.col("value") != "").select(
+        _part_number(fqn).alias(PART),
+        fqn.alias("fqn"),
+        F.regexp_replace("value", "\r?\n", "").alias("result"),
     )
-    filled = files.filter(~F.col("empty")).drop("empty")
-    if not keep_empty:
-        return filled
-    # Zero-length files may be left out of a text scan; a listing of names always has them.
+
+
+def concat_text_keep_empty(spark: SparkSession, path: str, num_parts: int) -> DataFrame:
+    """Like :func:`concat_text`, with an empty ``result`` for each partition without any text.
+
+    File listings skip empty files, so the partitions that ought to be there are named by their
+    number. Only file names are compared; the texts are not shuffled.
+    """
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
-        .filter(F.col("length") == 0)
-        .select(F.col("_metadata.file_path").alias("fqn"), F.lit("").alias("result"))
+        .select(_part_number(F.col("path")).alias(PART))
     )
-    return filled.unionByName(listed).unionByName(
-        files.filter("empty").drop("empty").join(listed.select("fqn"), "fqn", "left_anti")
+    expected = spark.range(num_parts).select(F.col("id").cast("int").alias(PART))
+    missing = expected.join(listed, PART, "left_anti").select(
+        PART, F.lit(None).cast("string").alias("fqn"), F.lit("").alias("result")
     )
+    return concat_text(spark, path).unionByName(missing)
 
 
 def collect_results(df: DataFrame, order: str = "part_id", result: str = "result") -> DataFrame:

@@ -6,12 +6,11 @@ Coordinates of the result are 0-based and half-open: ``start = POS - 1`` and
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions import lines
+from locusframe.functions.sharing import compute_here, once
 from locusframe.operators.overlap import overlap_filter
 from locusframe.sources.vcf_header import GENOTYPE_NAMES, HeaderField, VcfHeader
 
@@ -20,11 +19,6 @@ MISSING_ALLELE = -1
 FIXED_COLUMNS = ("CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO")
 
 
-def _once(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` mentions it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _known(text: Column) -> Column:
     """Null for an empty text or a lone dot."""
     return F.when((text != "") & (text != "."), text)
@@ -69,15 +63,15 @@ def _list(text: Column, kind: str = "string", sep: str = ",", strict: bool = Fal
     def typed(known: Column) -> Column:
         values = F.transform(known, lambda t: _number(t, kind))
         if not strict:
-            return _once(values, tidy)
-        return _once(
+            return once(values, tidy)
+        return once(
             values,
             lambda v: F.when(F.size(F.array_compact(v)) == F.size(F.array_compact(known)), tidy(v)),
         )
 
     if kind == "string":
-        return _once(tokens, tidy)
-    return _once(tokens, typed)
+        return once(tokens, tidy)
+    return once(tokens, typed)
 
 
 def _value(text: Column, field: HeaderField, strict: bool) -> Column:
@@ -104,6 +98,7 @@ def parse_variants(
     mode: str = "failfast",
     intervals: DataFrame | None = None,
     partitions: int | None = None,
+    genotypes: bool = True,
 ) -> DataFrame:
     """Typed variant table of text lines; header lines and empty lines give no row.
 
@@ -116,6 +111,8 @@ def parse_variants(
     INFO or FORMAT field that does not fit its type is null. ``list_sep`` separates names,
     alternates and filters. ``intervals`` (contig, start, end) drops variants that overlap none
     of them before genotypes are parsed. ``partitions`` asks for a round-robin shuffle.
+    ``genotypes=False`` leaves the genotypes out; unlike the other columns they are parsed even
+    where a query does not use them.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
@@ -139,13 +136,15 @@ def parse_variants(
         | (~blank(5) & _number(cell(5), "double").isNull())
     )
     if mode == "failfast":
-        # Part of the value all columns come from: a filter would be moved below the split.
+        # Part of the value all columns come from, so no column can be read past a bad line.
         message = F.concat(F.lit("unreadable variant line: "), F.col("line"))
-        cells = cells.select(F.when(broken, F.raise_error(message)).otherwise(F.col("cell")).alias("cell"))
+        checked = F.when(broken, F.raise_error(message)).otherwise(F.col("cell"))
         corrupt = []
     else:
-        cells = cells.select("cell", F.when(broken, F.col("line")).alias("_corrupt"))
+        checked = F.col("cell")
         corrupt = ["_corrupt"]
+    flagged = [F.when(broken, F.col("line")).alias(c) for c in corrupt]
+    cells = compute_here(cells.select(*flagged, checked.alias("cell")), "cell", F.col("cell"))
 
     valued = [f for f in header.info if f.kind != "boolean"]
     texts = cells.select(
@@ -188,14 +187,12 @@ def parse_variants(
             start="first_base",
             end="end",
         ).drop("first_base")
-    table = _with_genotypes(core, header)
+    table = _with_genotypes(core, header) if genotypes and header.samples else core.drop("cell")
     return table.repartition(partitions) if partitions else table
 
 
 def _with_genotypes(core: DataFrame, header: VcfHeader) -> DataFrame:
     """Replace ``cell`` by the parsed genotypes of the samples present on the line."""
-    if not header.samples:
-        return core.drop("cell")
     names = F.split(F.get("cell", F.lit(8)), ":")
     kept = [c for c in core.columns if c != "cell"]
 
@@ -221,8 +218,8 @@ def _with_genotypes(core: DataFrame, header: VcfHeader) -> DataFrame:
 
     def missing_or(values: Column, field: HeaderField) -> Column:
         if field.is_array:
-            return _once(at(values, field.key), lambda t: _value(_known(t), field, strict=False))
-        return _once(_known(at(values, field.key)), lambda t: _value(t, field, strict=False))
+            return once(at(values, field.key), lambda t: _value(_known(t), field, strict=False))
+        return once(_known(at(values, field.key)), lambda t: _value(t, field, strict=False))
 
     def genotype(values: Column, i: Column) -> Column:
         # A sample without any text has no genotype; one with an empty GT has a missing allele.
@@ -239,4 +236,5 @@ def _with_genotypes(core: DataFrame, header: VcfHeader) -> DataFrame:
             *[missing_or(values, f).alias(GENOTYPE_NAMES.get(f.key, f.key)) for f in header.formats],
         )
 
-    return opened.select(*kept, F.transform("sample_values", genotype).alias("genotypes"))
+    typed = opened.select(*kept, F.transform("sample_values", genotype).alias("genotypes"))
+    return compute_here(typed, "genotypes", F.col("genotypes"))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from locusframe.functions.sharing import compute_here
 from locusframe.sources import layouts
 from locusframe.sources.layouts import Layout
 
@@ -140,8 +141,7 @@ def vcf_lines(spark: SparkSession, sf: str) -> DataFrame:
       CASE WHEN o_orderkey % 6 = 1 THEN ';DB' ELSE '' END,
       ';OTHER=1;KIND=', o_orderstatus,
       CASE WHEN o_orderkey % 10 = 3 THEN concat(';END=', (o_orderkey * 7919) % 20000000 + 101) ELSE '' END) END"""
-    return table(spark, sf, "orders").selectExpr(
-        "o_orderkey AS id",
+    line = F.expr(
         f"""concat_ws('\\t',
           concat('chr', o_custkey % 22 + 1),
           (o_orderkey * 7919) % {CONTIG_LENGTH} + 1,
@@ -153,8 +153,10 @@ def vcf_lines(spark: SparkSession, sf: str) -> DataFrame:
           CASE o_orderkey % 3 WHEN 0 THEN 'PASS' WHEN 1 THEN 'q10,s50' ELSE '.,.' END,
           {info},
           'GT:DP:AD',
-          {", ".join(sample.format(i=i) for i in range(len(SAMPLES)))}) AS row""",
+          {", ".join(sample.format(i=i) for i in range(len(SAMPLES)))})"""
     )
+    orders = table(spark, sf, "orders")
+    return compute_here(orders.select(F.col("o_orderkey").alias("id"), line.alias("row")), "row", F.col("row"))
 
 
 _SAMPLE_SQL = """(CASE (k + {i}) % 4 WHEN 0 THEN '0/0' WHEN 1 THEN '0|1' WHEN 2 THEN '1/1' ELSE './.' END
@@ -200,12 +202,13 @@ chunks AS (
 
 def cohort(spark: SparkSession, sf: str) -> DataFrame:
     """One variant per order with the genotypes of 25 samples."""
-    x = "(id % 97 * (s + 3) + id % 7) % 10"
-    calls = f"""CASE WHEN {x} < 4 THEN array(0, 0) WHEN {x} < 7 THEN array(0, 1)
-                WHEN {x} < 9 THEN array(1, 1) ELSE array(-1, -1) END"""
+    calls = ", ".join(
+        ["array(0, 0)"] * 4 + ["array(0, 1)"] * 3 + ["array(1, 1)"] * 2 + ["array(-1, -1)"]
+    )
     return table(spark, sf, "orders").selectExpr("o_orderkey AS id").selectExpr(
         "id",
-        f"transform(sequence(0, {HWE_SAMPLES - 1}), s -> named_struct('sampleId', concat('S', s), 'calls', {calls})) AS genotypes",
+        f"""transform(sequence(0, {HWE_SAMPLES - 1}), s -> named_struct('sampleId', s,
+            'calls', array({calls})[int((id % 97 * (s + 3) + id % 7) % 10)])) AS genotypes""",
     )
 
 

@@ -101,14 +101,13 @@ SELECT part_id, string_agg(event_type, '' ORDER BY event_id) AS result FROM chun
 def concat_text(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "chunk-lines")
     _chunked(spark, sf).select(F.col("seq").alias("value")).write.text(path)
-    part = F.regexp_extract("fqn", r"part-(\d+)[^/]*$", 1).cast("int")
-    return collect.concat_text(spark, path).select(part.alias("part_id"), "result")
+    return collect.concat_text(spark, path).select("part_id", "result")
 
 
 @query(
     "concat_text_keep_empty",
     f"""WITH {inputs.PAIRS_SQL}
-SELECT c AS file_no, string_agg(id::VARCHAR, '' ORDER BY p, id) AS result FROM pairs GROUP BY c
+SELECT c AS part_id, string_agg(id::VARCHAR, '' ORDER BY p, id) AS result FROM pairs GROUP BY c
 UNION ALL SELECT 0, ''""",
 )
 def concat_text_keep_empty(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,8 +120,7 @@ def concat_text_keep_empty(spark: SparkSession, sf: str) -> DataFrame:
         assigned, layout.num_parts, ["part_id", "contig_rank", "alignmentStart", "id"], pos="alignmentStart"
     )
     placed.select(F.col("id").cast("string").alias("value")).write.text(path)
-    number = F.regexp_extract("fqn", r"part-(\d+)[^/]*$", 1).cast("int")
-    return collect.concat_text(spark, path, keep_empty=True).select(number.alias("file_no"), "result")
+    return collect.concat_text_keep_empty(spark, path, layout.num_parts).select("part_id", "result")
 
 
 def _region_results(spark: SparkSession, sf: str) -> DataFrame:

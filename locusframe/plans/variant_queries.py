@@ -53,8 +53,9 @@ def bed_scan(spark: SparkSession, sf: str) -> DataFrame:
     return text.read_bed(spark, path)
 
 
-def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return variants.parse_variants(inputs.vcf_lines(spark, sf), parse_header(inputs.VCF_HEADER))
+def _parsed(spark: SparkSession, sf: str, genotypes: bool = False) -> DataFrame:
+    header = parse_header(inputs.VCF_HEADER)
+    return variants.parse_variants(inputs.vcf_lines(spark, sf), header, genotypes=genotypes)
 
 
 def _list_text(values: Column) -> Column:
@@ -125,7 +126,7 @@ FROM vcf, range(0, 3) t(i)"""
 
 @query("vcf_genotypes", f"WITH {inputs.VCF_LINES_SQL} {GENOTYPES_SQL}")
 def vcf_genotypes(spark: SparkSession, sf: str) -> DataFrame:
-    samples = _parsed(spark, sf).select("contigName", "start", F.explode("genotypes").alias("g"))
+    samples = _parsed(spark, sf, genotypes=True).select("contigName", "start", F.explode("genotypes").alias("g"))
     return samples.select(
         "contigName",
         "start",
@@ -182,7 +183,7 @@ def hwe_counts(spark: SparkSession, sf: str) -> DataFrame:
 sizes AS (
   SELECT *, hom_ref + het + hom_alt AS n, 2 * least(hom_ref, hom_alt) + het AS m FROM counts),
 outcomes AS (
-  SELECT *, unnest(range(m % 2, m + 1, 2)) AS h FROM sizes WHERE n > 0),
+  SELECT *, unnest(range(m % 2, m + 1, 2)) AS h FROM sizes),
 logs AS (
   SELECT *, h * ln(2) + lgamma(n + 1) - lgamma((m - h) // 2 + 1) - lgamma(h + 1)
             - lgamma((2 * n - m - h) // 2 + 1) + lgamma(m + 1) + lgamma(2 * n - m + 1)
@@ -196,7 +197,7 @@ FROM tails GROUP BY id, n, m""",
 )
 def hwe_test(spark: SparkSession, sf: str) -> DataFrame:
     tested = inputs.cohort(spark, sf).select("id", genetics.hardy_weinberg(F.col("genotypes")).alias("hwe"))
-    return tested.filter(F.col("hwe").isNotNull()).select(
+    return tested.select(
         "id",
         F.round("hwe.hetFreqHwe", 6).alias("het_freq"),
         F.round("hwe.pValueHwe", 6).alias("p_value"),

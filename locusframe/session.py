@@ -36,6 +36,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Looking up the Python line of every expression takes most of a large plan's build time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

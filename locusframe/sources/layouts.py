@@ -161,16 +161,23 @@ def fixed(
     width: int = 1_000_000,
     pad: int = 0,
     joined: Iterable[str] = (),
+    min_tail: int = 0,
 ) -> Layout:
-    """Windows of ``width`` bases. Contigs in ``joined`` go into the partition before them."""
+    """Windows of ``width`` bases. Contigs in ``joined`` go into the partition before them.
+
+    A contig's last stretch shorter than ``min_tail`` becomes part of the window before it.
+    """
     attach = set(joined)
     rows: list[tuple[str, int, int, int, int]] = []
     part = -1
     for contig, length in lengths.items():
-        for start in range(1, length + 1, width):
+        starts = list(range(1, length + 1, width))
+        if len(starts) > 1 and length - starts[-1] + 1 < min_tail:
+            starts.pop()
+        for start, following in zip(starts, [*starts[1:], length + 1]):
             if contig not in attach or part < 0:
                 part += 1
-            rows.append((contig, start, min(start + width - 1, length), part, pad))
+            rows.append((contig, start, following - 1, part, pad))
     return _layout_from_rows(spark, rows, _ranks(lengths))
 
 
@@ -203,7 +210,7 @@ def preset(spark: SparkSession, name: str) -> Layout:
     """Named layouts for the two human assemblies.
 
     The point-lookup presets all come from the generators above. Partition counts are those in
-    the names; cut points are even cuts, not the hand-placed ones in assembly gaps, which can be
+    the names (the short-tail limits see to that); cut points are even cuts, not the hand-placed ones in assembly gaps, which can be
     loaded with :func:`read_layout`. ``hg19part77`` means the 23-partition layout.
     """
     hg19_main = {c: n for c, n in HG19_LENGTHS.items() if c != "chrM"}
@@ -213,14 +220,14 @@ def preset(spark: SparkSession, name: str) -> Layout:
         "hg19part23": lambda: chromosomes(spark, HG19_LENGTHS),
         "hg19part77": lambda: chromosomes(spark, HG19_LENGTHS),
         "hg19part155": lambda: even(spark, HG19_LENGTHS, 155, 1000),
-        "hg19part3109": lambda: fixed(spark, hg19_main, 1_000_000, 1000),
-        "hg19part3109unpadded": lambda: fixed(spark, hg19_main, 1_000_000, 0),
+        "hg19part3109": lambda: fixed(spark, hg19_main, 1_000_000, 1000, (), 100_000),
+        "hg19part3109unpadded": lambda: fixed(spark, hg19_main, 1_000_000, 0, (), 100_000),
         "hg19chr20part45": lambda: even(spark, chr20, 45, 0),
         "grch38part1": lambda: single(spark, GRCH38_LENGTHS),
         "grch38part23": lambda: chromosomes(spark, GRCH38_LENGTHS),
         "grch38part50": lambda: even(spark, GRCH38_LENGTHS, 50, 0),
         "grch38part155": lambda: even(spark, GRCH38_LENGTHS, 155, 1000),
-        "grch38part3101": lambda: fixed(spark, GRCH38_LENGTHS, 1_000_000, 1000, ("chrM",)),
+        "grch38part3101": lambda: fixed(spark, GRCH38_LENGTHS, 1_000_000, 1000, ("chrM",), 41_000),
     }
     if name.lower() not in makers:
         raise ValueError(f"unknown layout {name!r}; known: {', '.join(makers)}")
