@@ -1,7 +1,7 @@
 """Time the headline queries: prints one JSON line.
 
 ``BENCH_SF_DIR`` (default /root/testdata/sf0.1) and ``BENCH_CPUS`` (default 8) choose data and cores.
-Each query is built and written to the no-op sink; the best of ``BENCH_RUNS`` (default 2) counts.
+Each query is built and written to the no-op sink; the best of ``BENCH_RUNS`` (default 1) counts.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ HEADLINE = [
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     spark = local_session(cpus, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf}/nation.parquet").count()

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from locusframe.functions.sharing import once
+
 
 def part_ids(matches: Column) -> Column:
     return F.array_distinct(F.transform(matches, lambda m: m["part_id"]))
@@ -12,9 +14,17 @@ def part_ids(matches: Column) -> Column:
 
 def first_per_part(matches: Column) -> Column:
     """Keep the first match of every partition, in array order."""
-    parts = F.transform(matches, lambda m: m["part_id"])
-    return F.filter(
-        matches, lambda m, i: F.array_position(parts, m["part_id"]) == i.cast("long") + 1
+
+    def firsts(found: Column, parts: Column) -> Column:
+        return F.filter(
+            found, lambda m, i: F.array_position(parts, m["part_id"]) == i.cast("long") + 1
+        )
+
+    return once(
+        matches,
+        lambda found: once(
+            F.transform(found, lambda m: m["part_id"]), lambda parts: firsts(found, parts)
+        ),
     )
 
 

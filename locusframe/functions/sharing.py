@@ -22,4 +22,5 @@ def compute_here(df: DataFrame, name: str, value: Column) -> DataFrame:
     evaluates its input anew for each mention.
     """
     kept = [F.col(f"`{c}`") for c in df.columns if c != name]
-    return df.select(*kept, value.alias(name)).select(*kept, F.explode(F.array(F.col(name))).alias(name))
+    held = df.select(*kept, value.alias(name))
+    return held.select(*kept, F.explode(F.array(F.col(f"`{name}`"))).alias(name))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from locusframe.functions import lines, matches
 from locusframe.functions.intervals import normalize_contig
+from locusframe.functions.sharing import compute_here
 from locusframe.operators.lookup import lookup_join
 from locusframe.sources.layouts import Layout
 
@@ -107,7 +108,7 @@ def endpoint_matches(
         region_matches(df, layout, contig, start, "first_end"), layout, contig, end, "second_end"
     )
     kept = matches.first_per_part(F.concat("first_end", "second_end"))
-    return both.withColumn(into, kept).drop("first_end", "second_end")
+    return compute_here(both, into, kept).drop("first_end", "second_end")
 
 
 def pair_matches(
@@ -124,7 +125,7 @@ def pair_matches(
         region_matches(df, layout, contig, pos, "of_read"), layout, mate_contig, mate_pos, "of_mate"
     )
     kept = matches.first_per_part(F.concat("of_read", "of_mate"))
-    return both.withColumn(into, kept).drop("of_read", "of_mate")
+    return compute_here(both, into, kept).drop("of_read", "of_mate")
 
 
 def pair_regions(df: DataFrame, layout: Layout, into: str = "parts", **columns: str) -> DataFrame:

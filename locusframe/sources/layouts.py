@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,6 @@ HG19_LENGTHS = {
     "chrM": 16569,
 }
 
-REGION_SCHEMA = "contig string, start long, end long, part_id int, pad long"
 CONTIG_SCHEMA = "contig string, contig_rank int, length long"
 KEY_SHIFT = 32
 """``region_key = contig_rank << 32 | start``: one long per region, in genome order."""
@@ -108,16 +108,24 @@ def _layout_from_rows(
     spark: SparkSession, rows: Sequence[tuple[str, int, int, int, int]], ranks: Mapping[str, int]
 ) -> Layout:
     """Same as :func:`layout_from_frame` for generated rows, whose facts need no Spark job."""
-    keyed = [
-        (contig, start, end, part, pad, ranks[contig], (ranks[contig] << KEY_SHIFT) + start)
-        for contig, start, end, part, pad in rows
-    ]
-    schema = REGION_SCHEMA + ", contig_rank int, region_key long"
+    contigs, starts, ends, parts, pads = zip(*rows)
+    # An Arrow table becomes a local relation, which needs no job of its own to be read.
+    table = pa.table(
+        {
+            "contig": pa.array(contigs, pa.string()),
+            "start": pa.array(starts, pa.int64()),
+            "end": pa.array(ends, pa.int64()),
+            "part_id": pa.array(parts, pa.int32()),
+            "pad": pa.array(pads, pa.int64()),
+            "contig_rank": pa.array([ranks[c] for c in contigs], pa.int32()),
+            "region_key": pa.array([(ranks[c] << KEY_SHIFT) + s for c, s in zip(contigs, starts)], pa.int64()),
+        }
+    )
     bases = sum(end + 2 * pad - start + 1 for _, start, end, _, pad in rows)
     return Layout(
-        spark.createDataFrame(keyed, schema),
+        spark.createDataFrame(table),
         len(rows),
-        max(row[3] for row in rows) + 1,
+        max(parts) + 1,
         max(1, bases // len(rows)),
         3 * len(rows),
     )
