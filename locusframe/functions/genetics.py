@@ -39,9 +39,9 @@ def hwe_test(hom_ref: Column, het: Column, hom_alt: Column, mid_p: bool = False)
 
     Exact test of Wigginton, Cutler and Abecasis (2005). Given n individuals and m copies of
     the rarer allele, the heterozygote count h has the parity of m and
-    P(h+2)/P(h) = 4*r*c / ((h+2)*(h+1)), with r and c the rare and common homozygotes at h.
-    One walk over h finds log P(observed) and the highest log P, a second one adds up the
-    probabilities scaled by that highest value, so nothing overflows however large n is.
+    P(h+2)/P(h) = (m-h) * (2n-m-h) / ((h+2)*(h+1)). The logs of these ratios give log P(observed)
+    and the highest log P; a walk over them adds up the probabilities scaled by that highest
+    value, so nothing overflows however large n is.
     Null when there is no called genotype.
     """
     counts = F.struct(
@@ -67,31 +67,23 @@ def _exact_test(n: Column, rare: Column, het: Column, mid_p: bool) -> Column:
     # Outcomes as likely as the observed one must count despite rounding in the sums of logs.
     slack = F.lit(1e-9)
 
-    def after_step(acc: Column, h: Column) -> Column:
-        """log P(h+2) relative to the lowest outcome, from the same for h."""
-        r, c = (rare - h) / 2, (common - h) / 2
-        return acc["log_p"] + F.log(4.0 * r * c / ((h + 2.0) * (h + 1.0)))
-
-    def look(acc: Column, h: Column) -> Column:
-        return once(
-            after_step(acc, h),
-            lambda now: F.struct(
-                now.alias("log_p"),
-                F.greatest(acc["top"], now).alias("top"),
-                F.when(h + 2 == het, now).otherwise(acc["seen"]).alias("seen"),
-            ),
-        )
+    def log_ratio(h: Column) -> Column:
+        """log of P(h+2)/P(h). Falls as h grows, so P has a single peak."""
+        return F.log((rare - h) * (common - h) / ((h + 2.0) * (h + 1.0)))
+
+    def add_up(known: Column) -> Column:
+        """Tail over total, from log P relative to the lowest outcome, scaled by the peak."""
+        ratios, seen, top = known["ratios"], known["seen"], known["top"]
 
-    def add_up(peak: Column) -> Column:
         def share(log_p: Column) -> Column:
-            return F.exp(log_p - peak["top"])
+            return F.exp(log_p - top)
 
         def tail_share(log_p: Column) -> Column:
-            return F.when(log_p <= peak["seen"] + slack, share(log_p)).otherwise(zero)
+            return F.when(log_p <= seen + slack, share(log_p)).otherwise(zero)
 
-        def add(acc: Column, h: Column) -> Column:
+        def add(acc: Column, ratio: Column) -> Column:
             return once(
-                after_step(acc, h),
+                acc["log_p"] + ratio,
                 lambda now: F.struct(
                     now.alias("log_p"),
                     (acc["total"] + share(now)).alias("total"),
@@ -99,22 +91,28 @@ def _exact_test(n: Column, rare: Column, het: Column, mid_p: bool) -> Column:
                 ),
             )
 
-        start = F.struct(
-            zero.alias("log_p"), share(zero).alias("total"), tail_share(zero).alias("tail")
-        )
-
         def p_value(acc: Column) -> Column:
-            tail = acc["tail"] - share(peak["seen"]) / 2 if mid_p else acc["tail"]
+            tail = acc["tail"] - share(seen) / 2 if mid_p else acc["tail"]
             return F.least(tail / acc["total"], F.lit(1.0))
 
-        return F.aggregate(steps, start, add, p_value)
+        start = F.struct(
+            zero.alias("log_p"), share(zero).alias("total"), tail_share(zero).alias("tail")
+        )
+        return F.aggregate(ratios, start, add, p_value)
+
+    def peak_and_seen(ratios: Column) -> Column:
+        below_seen = F.slice(ratios, 1, F.floor((het - rare % 2) / 2).cast("int"))
+        return F.struct(
+            ratios.alias("ratios"),
+            F.aggregate(below_seen, zero, lambda acc, ratio: acc + ratio).alias("seen"),
+            # Up to the peak every ratio is above one, after it none is.
+            F.aggregate(ratios, zero, lambda acc, ratio: acc + F.greatest(ratio, zero)).alias("top"),
+        )
 
-    peak = F.aggregate(
-        steps, F.struct(zero.alias("log_p"), zero.alias("top"), zero.alias("seen")), look
-    )
+    known = once(F.transform(steps, log_ratio), peak_and_seen)
     return F.struct(
         (rare * common / (2.0 * n - 1.0) / n).alias("hetFreqHwe"),
-        once(peak, add_up).alias("pValueHwe"),
+        once(known, add_up).alias("pValueHwe"),
     )
 
 
