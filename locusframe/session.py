@@ -21,9 +21,9 @@ def shared_path(spark: SparkSession, label: str) -> str:
         context = spark.sparkContext
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = _LOCAL_BASES.setdefault(
-            context.applicationId, tempfile.mkdtemp(prefix="locusframe-")
-        )
+        if context.applicationId not in _LOCAL_BASES:
+            _LOCAL_BASES[context.applicationId] = tempfile.mkdtemp(prefix="locusframe-")
+        base = _LOCAL_BASES[context.applicationId]
     return f"{base.rstrip('/')}/locusframe/{label}-{uuid.uuid4().hex}"
 
 
