@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import packing, sharding, tokencount, urlrules
-from locusframe.llm.common import table
+from locusframe.llm import packing, quality, sharding, tokencount, toxicity, urlrules
+from locusframe.llm.common import held_out, table
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,24 @@ def query(function):
     return function
 
 
+def _judged(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    documents, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    return _judged(toxicity.score_toxicity(documents, documents, labels), 0.5)
+
+
+@query
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    documents, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    return _judged(quality.score_quality(documents, documents, labels, threshold=0.3), 0.3)
+
+
 @query
 def op2_interleave(spark: SparkSession, sf: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
