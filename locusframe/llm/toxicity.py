@@ -126,6 +126,7 @@ class Restorer:
             found = self.restore(bare).split()
         else:
             found = [r for p in parts for r in ([p] if p.isalpha() and not _LONG_RUN.search(p) else self.restore(p).split())]
+            found.append("".join(found))
         return tuple(found)
 
     def spaced(self, text: str) -> list[str]:
@@ -340,7 +341,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str, language, max_tra
     if not len(y) or not 0 < y.sum() < len(y):
         base = min(max(float(y.mean()) if len(y) else 0.0, 1e-9), 1 - 1e-9)
         return Classifier({}, {}, np.array([math.log(base / (1 - base)), 0.0, 0.0]))
-    chosen = cover([(r["y"], r["marks"]) for r in rows], least=max(3, round(0.02 * y.sum())))
+    chosen = cover([(r["y"], r["marks"]) for r in rows])
     place = {f: i for i, f in enumerate(chosen)}
     names = {i: f for f, i in number.items()}
     result = Classifier({names[f]: i for f, i in place.items()}, draft.lean, np.zeros(3))
