@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import graphsearch, packing, quality, sharding, tokencount, toxicity, urlrules
+from locusframe.llm import decontamination, graphsearch, packing, quality, sharding, tokencount, toxicity, urlrules
 from locusframe.llm.common import held_out, table
 
 QUERIES = {}
@@ -65,6 +65,13 @@ def op3_graph_search(spark: SparkSession, sf: str) -> DataFrame:
     return graphsearch.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    matched = decontamination.find_matches(documents, table(spark, sf, "benchmark"))
+    return matched.select("doc_id", F.inline("matches"))
+
+
 @query
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
