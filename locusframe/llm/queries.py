@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import decontamination, graphsearch, packing, quality, sharding, tokencount, toxicity, urlrules
+from locusframe.llm import decontamination, graphsearch, ngramjoin, packing, quality, sharding, tokencount, toxicity, urlrules
 from locusframe.llm.common import held_out, table
 
 QUERIES = {}
@@ -65,6 +65,11 @@ def op3_graph_search(spark: SparkSession, sf: str) -> DataFrame:
     return graphsearch.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query
+def op4_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngramjoin.near_duplicates(table(spark, sf, "documents"), n=4, percent=85)
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "text")
