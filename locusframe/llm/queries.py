@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import decontamination, graphsearch, ngramjoin, packing, quality, sharding, tokencount, toxicity, urlrules
+from locusframe.llm import decontamination, graphsearch, ngramjoin, packing, quality, sharding, suffixarray, tokencount, toxicity, urlrules
 from locusframe.llm.common import held_out, table
 
 QUERIES = {}
@@ -82,6 +82,11 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixarray.removal_digest(table(spark, sf, "documents"), 200)
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "text")
