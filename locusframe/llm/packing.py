@@ -59,8 +59,7 @@ class Tokens:
         self.library = Tokenizer.from_str(vocabulary)
         self.model = self.library.model
         self.shown = {chr(b): "".join(byte_symbols()[x] for x in chr(b).encode()) for b in range(0x180)}
-        self.of_word = Recent(self._word, 400_000)
-        self.of_letters = Recent(self._letters, 400_000)
+        self.of_word = Recent(self._word, 600_000)
         self.of_other = Recent(self._whole, 50_000)
 
     def _whole(self, word: str) -> bytes:
@@ -76,8 +75,9 @@ class Tokens:
         letters = word.rstrip(".,;:!?")
         # U+0130 is the one letter below U+0180 whose lower case is no longer letters only.
         if letters.isalpha() and (letters.isascii() or (max(letters) < "\u0180" and "\u0130" not in letters)):
-            ids = self.of_letters[letters]
-            return ids + self.of_other[word[len(letters) :]] if len(letters) < len(word) else ids
+            if len(letters) == len(word):
+                return self._letters(word)
+            return self.of_word[letters] + self.of_other[word[len(letters) :]]
         return self.of_other[word] if word else b""
 
     def ids(self, text: str) -> bytes:
