@@ -17,6 +17,11 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, F.col("u") == F.col("of")).select("u", "v", F.least("u", "m").alias("m"))
 
 
+def _signature(edges: DataFrame) -> tuple:
+    """Count and hash sum of a set of edges, to tell whether a round changed it."""
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
 def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) of all nodes of the edges (u, v); a component's name is its least node.
 
@@ -26,6 +31,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """
     edges = edges.select("u", "v").filter("u != v")
     state = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), label)
+    signature = _signature(state)
     while True:
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -33,11 +39,9 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         small = _least(large)
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
         following = stored(small.filter("u != v").distinct(), label)
-        changed = following.join(state, ["u", "v"], "left_anti").limit(1).count() or (
-            state.join(following, ["u", "v"], "left_anti").limit(1).count()
-        )
-        state = following
-        if not changed:
+        state, before = following, signature
+        signature = _signature(state)
+        if signature == before:
             break
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(state.select("v", "v").distinct())

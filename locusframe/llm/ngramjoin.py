@@ -13,9 +13,11 @@ sequence as one. Equal sets are one class and travel once.
    a run of shared ones.
 4. First round. A group's classes are put in order of size, and neighbours are verified: a line through the
    group, not all its pairs. Components of the links found follow.
-5. Second round. In groups that hold several components, pairs of different components are met, those of
-   the group's main component only with the others. After it every linked pair has been verified once, or
-   lies in one component already.
+5. Second round. Groups that still hold several components are open. Classes that meet in open groups form
+   arenas; an arena's sets are sent once, or for a large arena once per part, to cells of bounded size.
+   A cell meets pairs of different components by their prefix n-grams, with the filters of step 3, and
+   verifies each once; pairs that meanwhile became one component are skipped, and only links leave the cell.
+   After it every linked pair has been verified, or lies in one component already.
 
 Verification first counts both sets by ranges of hashes; the differences of these counts bound what the sets
 do not share (the suffix filter). Then it compares whole sets. Results are one row per input row: ``n_shingles`` and ``component_id``, the
@@ -38,6 +40,8 @@ from locusframe.llm.common import column, stored
 from locusframe.llm.components import components
 
 COUNTERS = 1 << 20
+#: Bytes of sets in one part of an arena; a cell holds two parts at most.
+CELL_BYTES = 24_000_000
 _CHUNKS = 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SPACE = np.zeros(256, bool)
@@ -163,12 +167,7 @@ def prefixes(documents: DataFrame, n: int, percent: int, counts) -> DataFrame:
                     kept = size - -(-percent * size // 100) + 1 if size and name not in met else 0
                     met.add(name)
                     if kept:
-                        rare = table[(grams >> np.uint64(44)).astype(np.int64)]
-                        if kept < size:
-                            limit = np.partition(rare, kept - 1)[kept - 1]
-                            low = rare <= limit
-                            grams, rare = grams[low], rare[low]
-                        grams = grams[np.lexsort((grams, rare))[:kept]]
+                        grams = rarest(grams, table, kept)
                     sizes.append(size)
                     names.append(name)
                     firsts.append(grams[:kept].astype(np.int64))
@@ -192,6 +191,23 @@ def class_sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return rows.mapInPandas(run, "cid long, grams binary")
 
 
+def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(x) > len(y):
+        x, y = y, x
+    both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def rarest(grams: np.ndarray, table: np.ndarray, count: int) -> np.ndarray:
+    """The first ``count`` n-grams in the order of their counters, then hashes."""
+    rare = table[(grams >> np.uint64(44)).astype(np.int64)]
+    if count < len(grams):
+        low = rare <= np.partition(rare, count - 1)[count - 1]
+        grams, rare = grams[low], rare[low]
+    return grams[np.lexsort((grams, rare))[:count]]
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose sets reach the threshold."""
 
@@ -206,11 +222,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             if (100 + percent) * apart > (100 - percent) * (len(x) + len(y)):
                 out.append(False)
                 continue
-            if len(x) > len(y):
-                x, y = y, x
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            out.append(100 * both >= percent * (len(x) + len(y) - both))
+            out.append(reaches(x, y, percent))
         return pd.Series(out, dtype=bool)
 
     one = sets.select(F.col("cid").alias("a"), F.col("grams").alias("left"))
@@ -218,6 +230,64 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(linked("left", "right")).select("a", "b").distinct()
 
 
+def _cell_links(percent: int, counts):
+    """Verified links between different components of the classes of one cell (parts ``i`` and ``j`` of an arena)."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("cid", kind="stable")
+        across = frame["i"].iloc[0] != frame["j"].iloc[0]
+        table, part = counts.value, frame["part"].to_numpy()
+        sets = [np.frombuffer(g, np.uint64) for g in frame["grams"]]
+        size = np.array([len(s) for s in sets])
+        kept = size - -(-percent * size // 100) + 1
+        ranges = np.r_[(np.arange(16, dtype=np.uint64) << np.uint64(60)), np.uint64(2**64 - 1)]
+        spread = np.array([np.diff(np.searchsorted(s, ranges)) for s in sets])
+        first = [rarest(s, table, k) for s, k in zip(sets, kept.tolist(), strict=True)]
+        parent = {c: c for c in frame["component"]}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        component, names = frame["component"].tolist(), frame["cid"].tolist()
+        met: dict[int, list[tuple[int, int]]] = {}
+        out = []
+        for x, grams in enumerate(first):
+            left = {}
+            n = int(size[x])
+            for pos, h in enumerate(grams.tolist()):
+                for y, at in met.get(h, ()):
+                    # The first shared n-gram decides by position; later ones cannot allow more.
+                    if y not in left:
+                        m = int(size[y])
+                        left[y] = (
+                            (not across or part[x] != part[y])
+                            and 100 * min(n, m) >= percent * max(n, m)
+                            and (100 + percent) * min(n - pos, m - at) >= percent * (n + m)
+                        )
+            mine = root(component[x])
+            for y, fits in left.items():
+                if not fits:
+                    continue
+                other = root(component[y])
+                if other == mine:
+                    continue
+                m = int(size[y])
+                apart = int(np.abs(spread[x] - spread[y]).sum())
+                if (100 + percent) * apart > (100 - percent) * (n + m):
+                    continue
+                if reaches(sets[x], sets[y], percent):
+                    out.append((min(names[x], names[y]), max(names[x], names[y])))
+                    parent[other] = mine
+            for pos, h in enumerate(grams.tolist()):
+                met.setdefault(h, []).append((x, pos))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    return run
+
+
 def _fits(percent: int) -> str:
     """Sizes and positions of two rows x and y allow the threshold: overlap needed is t / (1 + t) of both sizes."""
     return (
@@ -258,19 +328,23 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
     sets = stored(class_sets(documents, wanted, n), "sets")
     first = stored(verified(pairs, sets, percent), "links")
     of_first = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = live.join(of_first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    per = named.groupBy("h", "component").agg(F.count(F.lit(1)).alias("size"))
-    mains = per.groupBy("h").agg(F.max(F.struct("size", "component")).alias("most"), F.count(F.lit(1)).alias("kinds"))
-    mains = mains.filter("kinds > 1").select("h", F.col("most.component").alias("main"))
-    open_ = stored(named.join(mains, "h"), "open-grams")
-    x = open_.filter("component != main").selectExpr("h", "cid x", "n x_n", "pos x_pos", "before x_before", "component x_comp")
-    y = open_.selectExpr("h", "cid y", "n y_n", "pos y_pos", "before y_before", "component y_comp", "main")
-    crossing = x.join(y, "h").filter(
-        f"x_comp != y_comp AND (y_comp = main OR x < y) AND (x_before != y_before OR x_before = 0) AND {_fits(percent)}"
+    named = live.select("h", "cid").distinct()
+    named = named.join(of_first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    spans = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("v"))
+    open_ = stored(named.join(spans.filter("low != high").select("h", "v"), "h"), "open-grams")
+    # Classes that meet in open groups, directly or over others, are one arena.
+    arena = components(open_.select(F.col("cid").alias("u"), "v")).select(F.col("node").alias("cid"), F.col("component").alias("arena"))
+    ranked = arena.join(sets, "cid").join(open_.select("cid", "component").distinct(), "cid")
+    ranked = stored(ranked.dropDuplicates(["cid"]), "arenas")
+    sizes = ranked.groupBy("arena").agg(F.sum(F.octet_length("grams")).alias("bytes"))
+    parts = sizes.select(F.col("arena").alias("of"), F.ceil(F.col("bytes") / F.lit(CELL_BYTES)).cast("int").alias("parts"))
+    cells = ranked.join(parts, F.col("arena") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select(
+        "arena", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid", "component", "grams"
     )
-    more = crossing.selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
-    second = stored(verified(more.join(pairs, ["a", "b"], "left_anti"), sets, percent), "links")
-    links = first.union(second)
+    found = cells.groupBy("arena", "i", "j").applyInPandas(_cell_links(percent, counts), "a long, b long")
+    links = first.union(stored(found.distinct(), "links"))
     return rows, links, components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
 
