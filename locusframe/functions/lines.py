@@ -16,8 +16,10 @@ def field(row: Column, position: int) -> Column:
 
 
 def int_field(row: Column, position: int) -> Column:
-    """0-based tab field as a long. ANSI cast: text that is not a number fails the query."""
-    return field(row, position).cast("long")
+    """0-based tab field as a long, null on a short line. Text that is not a number fails the query."""
+    text = field(row, position)
+    wrong = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("long")
+    return F.when(text.isNotNull(), F.coalesce(text.try_cast("long"), wrong))
 
 
 def is_header(row: Column) -> Column:
@@ -31,10 +33,6 @@ def join_fields(columns: Sequence[str | Column], sep: str = "\t") -> Column:
     return F.concat_ws(sep, *[F.coalesce(t.cast("string"), F.lit("null")) for t in texts])
 
 
-def zero_pad(value: Column, width: int) -> Column:
-    return F.format_string(f"%0{width}d", value)
-
-
 def u16_le(raw: Column, offset: int) -> Column:
     """Unsigned little-endian 16-bit number at a 0-based byte offset."""
     low, high = F.substring(raw, offset + 1, 1), F.substring(raw, offset + 2, 1)

@@ -39,7 +39,8 @@ def table_index(
     """Row numbers for a Parquet table as written: by file, then by place in the file.
 
     No shuffle of the rows. The per-file counts come from the Parquet footers, since the scan
-    reads no column. Files written by one Spark job are ordered by their task number.
+    reads no column. Files written by one Spark job are ordered by their task number, and files of equal number, as
+    partition folders and later appends have them, by their whole path.
     """
     table = spark.read.parquet(path)
     columns = table.columns
@@ -47,20 +48,20 @@ def table_index(
     located = table.select(
         "*",
         F.when(file_no != "", file_no.cast("long")).alias("file_no"),
-        F.col("_metadata.file_name").alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.row_index").alias("row_in_file"),
     )
-    counts = located.groupBy("file_no", "file_name").count()
+    counts = located.groupBy("file_no", "file_path").count()
     # The running sum sees one row per file of the table, not the rows of the table.
     offsets = counts.select(
-        F.col("file_name").alias("offset_file"),
+        F.col("file_path").alias("offset_file"),
         F.expr(
-            "coalesce(sum(count) over (order by file_no, file_name "
+            "coalesce(sum(count) over (order by file_no, file_path "
             "rows between unbounded preceding and 1 preceding), 0)"
         ).alias("offset"),
     )
     joined = lookup_join(
-        located, offsets, on=[("file_name", "offset_file")], table_rows=len(table.inputFiles())
+        located, offsets, on=[("file_path", "offset_file")], table_rows=len(table.inputFiles())
     )
     place = F.col("offset") + F.col("row_in_file") + F.lit(starts_from)
     return joined.select(*columns, place.cast("long").alias(name))

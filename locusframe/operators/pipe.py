@@ -24,16 +24,14 @@ def pipe_partitions(df: DataFrame, argv: Sequence[str], row: str = "row") -> Dat
     command = list(argv)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        process = subprocess.Popen(
-            command, stdin=subprocess.PIPE, stdout=subprocess.PIPE, text=True, encoding="utf-8"
-        )
+        process = subprocess.Popen(command, stdin=subprocess.PIPE, stdout=subprocess.PIPE)
         failure: list[BaseException] = []
 
         def feed() -> None:
             try:
                 with process.stdin as sink:
                     for batch in batches:
-                        sink.writelines(f"{line}\n" for line in batch[row])
+                        sink.writelines(f"{line}\n".encode() for line in batch[row])
             except BrokenPipeError:
                 pass  # the command stopped reading early; its exit code decides
             except BaseException as error:
@@ -43,18 +41,26 @@ def pipe_partitions(df: DataFrame, argv: Sequence[str], row: str = "row") -> Dat
         feeder = threading.Thread(target=feed, daemon=True)
         feeder.start()
         pending: list[str] = []
-        for line in process.stdout:
-            pending.append(line.rstrip("\n"))
-            if len(pending) == LINES_PER_BATCH:
+        try:
+            # A binary stream ends lines at the line feed only, so a carriage return stays in its line.
+            for line in process.stdout:
+                pending.append(line.removesuffix(b"\n").decode())
+                if len(pending) == LINES_PER_BATCH:
+                    yield pd.DataFrame({row: pending})
+                    pending = []
+            code = process.wait()
+            feeder.join()
+            if failure:
+                raise failure[0]
+            if code:
+                raise RuntimeError(f"{command[0]} ended with exit code {code}")
+            if pending:
                 yield pd.DataFrame({row: pending})
-                pending = []
-        code = process.wait()
-        feeder.join()
-        if failure:
-            raise failure[0]
-        if code:
-            raise RuntimeError(f"{command[0]} ended with exit code {code}")
-        if pending:
-            yield pd.DataFrame({row: pending})
+        finally:
+            # Reached early when the rows are no longer wanted or the task fails.
+            if process.poll() is None:
+                process.kill()
+                process.wait()
+            process.stdout.close()
 
     return df.select(row).mapInPandas(run, f"`{row}` string")

@@ -50,7 +50,9 @@ def read_fastq(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Reads as (id, seq, qual, source_file, read_no), read_no from 0 per file.
 
     A record is four lines by position; the ``@`` of a line is no sign of a record's start, since
-    quality strings may begin with it. Each group of the shuffle holds exactly four rows.
+    quality strings may begin with it. Each group of the shuffle holds exactly four rows. Empty lines at
+    a file's end are ignored. Any other record that lacks a line or has no ``@`` or ``+`` in its place fails
+    the query. Lengths of sequence and quality are not compared.
     """
     place = F.col("line_no") % 4
 
@@ -60,8 +62,16 @@ def read_fastq(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     records = (
         number_lines(spark, path)
         .groupBy("source_file", F.floor(F.col("line_no") / 4).alias("read_no"))
-        .agg(line(0).alias("title"), line(1).alias("seq"), line(3).alias("qual"))
+        .agg(line(0).alias("title"), line(1).alias("seq"), line(2).alias("plus"), line(3).alias("qual"), F.max("row").alias("longest"))
     )
+    # Empty records before the last one with text are not at the end, and the next check finds them.
+    last = records.filter("longest != ''").groupBy(F.col("source_file").alias("of_file")).agg(F.max("read_no").alias("last_read"))
+    records = lookup_join(records, last, on=[("source_file", "of_file")]).filter("read_no <= last_read")
+    fine = F.coalesce(
+        F.col("title").startswith("@") & F.col("plus").startswith("+") & F.col("qual").isNotNull(), F.lit(False)
+    )
+    wrong = F.raise_error(F.concat(F.lit("bad FASTQ record "), F.col("read_no").cast("string"), F.lit(" of "), F.col("source_file")))
+    records = records.withColumn("title", F.when(fine, F.col("title")).otherwise(wrong.cast("string")))
     return records.select(
         F.regexp_replace("title", "^@", "").alias("id"), "seq", "qual", "source_file", "read_no"
     )

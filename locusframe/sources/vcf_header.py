@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from locusframe.sources.text import header_lines
 
@@ -77,4 +78,23 @@ def _field(body: str) -> HeaderField:
 
 
 def read_header(spark: SparkSession, path: str) -> VcfHeader:
-    return parse_header(header_lines(spark, path))
+    """The fields that any file declares and the samples that all files name.
+
+    The ``#`` lines of all files are read in one pass; only their distinct texts come to the driver. Fields
+    keep the order of the first file by name, those of other files follow. Files with different samples
+    or with different types for a key fail: their lines need a table each.
+    """
+    first = header_lines(spark, path)
+    distinct = spark.read.text(path).filter(F.col("value").startswith("#")).distinct()
+    others = sorted({r["value"] for r in distinct.collect()} - set(first))
+    header = parse_header(first)
+    known = {("INFO", f.key): f for f in header.info} | {("FORMAT", f.key): f for f in header.formats}
+    for line in others:
+        more = parse_header([line])
+        if line.startswith("#CHROM") and more.samples != header.samples:
+            raise ValueError(f"files name different samples: {header.samples} and {more.samples}")
+        for place, fields in (("INFO", more.info), ("FORMAT", more.formats)):
+            for field in fields:
+                if known.setdefault((place, field.key), field) != field:
+                    raise ValueError(f"{place} {field.key} is declared with different types")
+    return parse_header([*first, *others])
