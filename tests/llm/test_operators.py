@@ -209,6 +209,22 @@ def test_components(spark):
     assert dict(map(tuple, rows)) == {i: 0 for i in range(41)} | {50: 50, 60: 50}
 
 
+def test_components_over_many_tasks(spark, monkeypatch):
+    chance = random.Random(12)
+    chain = [(i, i + 1) for i in range(400)] + [(1000 + chance.randrange(300), 1000 + chance.randrange(300)) for _ in range(140)]
+    chain += [(5000, 5000 + i) for i in range(1, 200)]
+    chance.shuffle(chain)
+    name = {x: x for edge in chain for x in edge if edge[0] != edge[1]}
+    for _ in range(402):
+        for u, v in chain:
+            if u != v:
+                name[u] = name[v] = min(name[u], name[v])
+    monkeypatch.setattr(components, "LOCAL_NODES", 10)
+    frame = spark.createDataFrame(chain, "u long, v long").repartition(16)
+    assert dict(map(tuple, components.components(frame).collect())) == name
+    assert components.components(frame.limit(0)).count() == 0
+
+
 def test_suffix_order():
     chance = random.Random(3)
     for _ in range(2000):
