@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.operators.sinks import PART
+from locusframe.operators.sinks import PART, PIECE
 
 
 def _part_number(path: Column) -> Column:
-    """Partition of a file: its ``part_id=<n>`` folder, or else the number in its name."""
-    folder = F.regexp_extract(path, rf"{PART}=(\d+)/[^/]*$", 1)
+    """Partition of a file: its ``part_id=<n>`` folder (above one of a piece or not), or else the number in its name."""
+    folder = F.regexp_extract(path, rf"{PART}=(-?\d+)/(?:{PIECE}=[^/]*/)?[^/]*$", 1)
     name = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1)
     return F.coalesce(F.nullif(folder, F.lit("")), F.nullif(name, F.lit("")), F.lit("0")).cast("int")
 
@@ -49,6 +49,15 @@ def concat_text_keep_empty(spark: SparkSession, path: str, num_parts: int) -> Da
     return concat_text(spark, path).unionByName(missing)
 
 
+def join_pieces(texts: DataFrame) -> DataFrame:
+    """(part_id, result): the texts of a region's files joined in the order of their paths.
+
+    Meant for short texts, such as a command gives per piece; a region has as many as it has pieces.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("fqn", F.lit("")).alias("fqn"), "result")))
+    return texts.groupBy(PART).agg(F.array_join(F.transform(ordered, lambda t: t["result"]), "").alias("result"))
+
+
 def collect_results(df: DataFrame, order: str = "part_id", result: str = "result") -> DataFrame:
     """All ``result`` values as one array in ``order``.
 

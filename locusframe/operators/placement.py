@@ -1,15 +1,15 @@
-"""Putting rows into one task per region, in genome order, with hot regions split.
+"""Putting rows into pieces of regions, in genome order.
 
-``place`` keeps the rule "a task holds rows of one region only" and makes it safe: a region with
-more rows than a task should hold is cut into slices along the genome, and a single stretch of
-the genome that is itself too large is spread over several slices. Slice 0 of region p is task p;
-further slices come after the last region.
+A piece is a stretch of one region: a cell of fixed width on the genome, dealt over a fixed number
+of lanes. It follows from the row and the layout alone, never from how many rows there are, so
+small and large inputs give the same pieces and no pass over the data is needed to choose them.
+``part_id`` and ``piece`` are columns; tasks hold whole pieces, one after another, and nothing may
+be read off a task's number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,124 +18,50 @@ from locusframe.functions import lines
 from locusframe.functions.intervals import normalize_contig
 from locusframe.operators import regions
 from locusframe.operators.lookup import lookup_join
-from locusframe.session import shared_path
 from locusframe.sources.layouts import Layout
 
-MAX_ROWS_PER_TASK = 8_000_000
-CELL_WIDTH = 10_000
-"""Hot regions are cut between stretches of this many bases."""
+CELL_WIDTH = 10_000_000
+"""Bases of a cell."""
+SPREAD = 4
+"""Lanes of a cell, which keep a position that holds very many rows from being one task's work."""
 
 
-@dataclass(frozen=True)
-class Slots:
-    """``rows`` carries a ``slot`` column; ``table`` lists (slot, part_id) of every task."""
-
-    rows: DataFrame
-    table: list[tuple[int, int]]
-
-    @property
-    def count(self) -> int:
-        return len(self.table)
-
-
-def with_slots(
-    df: DataFrame,
-    num_parts: int,
-    rank: str = "contig_rank",
-    pos: str = "pos",
-    part: str = "part_id",
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
-) -> Slots:
-    """Choose the task of every row. Runs one small aggregation to find hot regions.
+def with_pieces(
+    df: DataFrame, rank: str = "contig_rank", pos: str = "pos", cell_width: int = CELL_WIDTH, spread: int = SPREAD
+) -> DataFrame:
+    """Add ``piece``, a text of contig, cell and lane whose order is that of the genome.
 
-    ``max_rows_per_task=None`` skips that pass, for input known to have no hot region.
+    Rows without contig rank or position (an unmapped read placed by its mate) are in cells of
+    number 0. The lanes of a cell are sorted runs of it; with ``spread=1`` the pieces of a region
+    in order hold its rows in order.
     """
-    plain = df.withColumn("slot", F.col(part))
-    table = [(i, i) for i in range(num_parts)]
-    if max_rows_per_task is None:
-        return Slots(plain, table)
-    # At most one row per region of the layout reaches the driver.
-    hot = (
-        df.groupBy(part).count().filter(F.col("count") > max_rows_per_task).orderBy(part).collect()
-    )
-    if not hot:
-        return Slots(plain, table)
-
-    # Rows without a contig rank or position (an unmapped read placed by its mate) share a cell.
-    cell = F.coalesce(F.floor(F.col(pos) / F.lit(CELL_WIDTH)), F.lit(-1).cast("long"))
-    cell_rank = F.coalesce(F.col(rank), F.lit(-1))
-    spark = df.sparkSession
-    extra_rows = []
-    for row in hot:
-        slices = -(-row["count"] // max_rows_per_task)
-        extra_rows.append((row[part], len(table) - 1))
-        table += [(len(table) + i, row[part]) for i in range(slices - 1)]
-    # ``before`` + slice is the slot of every slice but the first.
-    extra = spark.createDataFrame(extra_rows, "hot_part int, before int")
-
-    cells = (
-        lookup_join(
-            df.select(F.col(part).alias("cell_part"), cell_rank.alias("cell_rank"), cell.alias("cell")),
-            extra.select("hot_part"),
-            on=[("cell_part", "hot_part")],
-            how="left_semi",
-            table_rows=len(extra_rows),
-        )
-        .groupBy("cell_part", "cell_rank", "cell")
-        .count()
-    )
-    # A window group holds the cells of one region: genome length over cell width at most.
-    up_to = (
-        "sum(count) over (partition by cell_part order by cell_rank, cell "
-        "rows between unbounded preceding and current row)"
-    )
-    spans = cells.withColumn("upto", F.expr(up_to)).select(
-        "cell_part",
-        "cell_rank",
-        "cell",
-        F.floor((F.col("upto") - F.col("count")) / max_rows_per_task).alias("low_slice"),
-        # A small cell stays whole; only a large one is spread over the slices it reaches.
-        F.when(F.col("count") * 10 > max_rows_per_task, F.floor((F.col("upto") - 1) / max_rows_per_task))
-        .otherwise(F.floor((F.col("upto") - F.col("count")) / max_rows_per_task))
-        .alias("high_slice"),
-    )
-    spans = lookup_join(spans, extra, on=[("cell_part", "hot_part")], table_rows=len(extra_rows))
-    # Stored, so that its size can be checked and the join reads the same spans.
-    path = shared_path(spark, "slice-spans")
-    spans.write.parquet(path)
-    spans = spark.read.parquet(path)
-    placed = lookup_join(
-        df.withColumn("at_cell", cell).withColumn("at_rank", cell_rank),
-        spans.withColumnRenamed("cell", "span_cell").withColumnRenamed("cell_rank", "span_rank"),
-        on=[(part, "cell_part"), ("at_rank", "span_rank"), ("at_cell", "span_cell")],
-        how="left",
-    )
-    slices_here = F.col("high_slice") - F.col("low_slice") + 1
-    chosen = F.col("low_slice") + F.pmod(lines.spread_key(*df.columns), slices_here)
-    slot = F.when(F.coalesce(chosen, F.lit(0)) == 0, F.col(part)).otherwise(F.col("before") + chosen)
-    return Slots(placed.select(*df.columns, slot.cast("int").alias("slot")), table)
+    number = F.coalesce(F.col(rank) + 1, F.lit(0)).cast("long")
+    cell = F.coalesce(F.floor(F.col(pos) / F.lit(cell_width)), F.lit(0)).cast("long")
+    lane = F.pmod(lines.spread_key(*df.columns), F.lit(spread)).cast("long")
+    return df.withColumn("piece", F.format_string("%06d-%07d-%03d", number, cell, lane))
 
 
 def place(
     df: DataFrame,
-    num_parts: int,
     order: Sequence[str | Column] | None = None,
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
     rank: str = "contig_rank",
     pos: str = "pos",
+    cell_width: int = CELL_WIDTH,
+    spread: int = SPREAD,
 ) -> DataFrame:
-    """Task i holds the rows of region i, sorted by (part_id, contig rank, position)."""
-    slots = with_slots(df, num_parts, rank, pos, max_rows_per_task=max_rows_per_task)
-    keys = ["part_id", rank, pos] if order is None else list(order)
-    return slots.rows.repartitionById(slots.count, "slot").sortWithinPartitions(*keys).drop("slot")
+    """Rows with their ``piece``, a piece in one task only, sorted by (part_id, piece, ``order``).
 
+    ``order`` is contig rank and position by default. Rows of part id -1 have pieces of their own.
+    """
+    keys = [rank, pos] if order is None else list(order)
+    pieces = with_pieces(df, rank, pos, cell_width, spread)
+    return pieces.repartition("part_id", "piece").sortWithinPartitions("part_id", "piece", *keys)
 
-def partition_lines(
-    df: DataFrame, layout: Layout, row: str = "row", max_rows_per_task: int | None = MAX_ROWS_PER_TASK
-) -> DataFrame:
-    """Variant lines to regions by their first two fields; gives (row, part_id)."""
+
+def partition_lines(df: DataFrame, layout: Layout, row: str = "row") -> DataFrame:
+    """Variant lines to regions by their first two fields; gives (row, part_id, piece)."""
     assigned = regions.assign_lines(df.select(row), layout, row)
-    return place(assigned, layout.num_parts, max_rows_per_task=max_rows_per_task).select(row, "part_id")
+    return place(assigned).select(row, "part_id", "piece")
 
 
 def partition_alignments(
@@ -143,18 +69,14 @@ def partition_alignments(
     layout: Layout,
     contig: str = "referenceName",
     pos: str = "alignmentStart",
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
-    """Alignments to regions by their start; every input column is kept."""
+    """Alignments to regions by their start; every input column is kept, ``part_id`` and ``piece`` are added."""
     assigned = regions.assign_regions(df, layout, contig, pos)
-    placed = place(assigned, layout.num_parts, pos=pos, max_rows_per_task=max_rows_per_task)
-    return placed.drop("region_key", "contig_rank")
+    return place(assigned, pos=pos).drop("region_key", "contig_rank")
 
 
-def partition_bed(
-    df: DataFrame, layout: Layout, row: str = "row", max_rows_per_task: int | None = MAX_ROWS_PER_TASK
-) -> DataFrame:
-    """BED lines to the regions of their two end points; gives (row, part_id)."""
+def partition_bed(df: DataFrame, layout: Layout, row: str = "row") -> DataFrame:
+    """BED lines to the regions of their two end points; gives (row, part_id, piece)."""
     parsed = df.select(
         row,
         lines.field(F.col(row), 0).alias("contig"),
@@ -162,8 +84,7 @@ def partition_bed(
         lines.int_field(F.col(row), 2).alias("end"),
     )
     assigned = with_rank(regions.assign_endpoints(parsed, layout), layout, "contig")
-    placed = place(assigned, layout.num_parts, pos="start", max_rows_per_task=max_rows_per_task)
-    return placed.select(row, "part_id")
+    return place(assigned, pos="start").select(row, "part_id", "piece")
 
 
 def partition_pairs(
@@ -173,15 +94,13 @@ def partition_pairs(
     pos: str = "alignmentStart",
     mate_contig: str = "mateReferenceName",
     mate_pos: str = "mateAlignmentStart",
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
 ) -> DataFrame:
     """Read pairs to every region either mate falls in, sorted by the read's own position."""
     assigned = regions.assign_pairs(
         df, layout, contig=contig, pos=pos, mate_contig=mate_contig, mate_pos=mate_pos
     )
     ranked = with_rank(assigned, layout, contig)
-    placed = place(ranked, layout.num_parts, pos=pos, max_rows_per_task=max_rows_per_task)
-    return placed.drop("region_key", "contig_rank")
+    return place(ranked, pos=pos).drop("region_key", "contig_rank")
 
 
 def with_rank(df: DataFrame, layout: Layout, contig: str) -> DataFrame:

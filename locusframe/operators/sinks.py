@@ -8,9 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusframe.functions import lines
-from locusframe.operators.placement import MAX_ROWS_PER_TASK, with_slots
+from locusframe.operators.placement import CELL_WIDTH, SPREAD, place, with_pieces
 
 PART = "part_id"
+PIECE = "piece"
+HEADER_PIECE = "000000-0000000-000"
+"""Comes before the pieces of all contigs."""
 
 
 def write_region_lines(
@@ -23,18 +26,19 @@ def write_region_lines(
     pos: str = "pos",
     order: Sequence[str] = (),
     compression: str | None = None,
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
+    cell_width: int = CELL_WIDTH,
+    spread: int = SPREAD,
 ) -> None:
-    """One text file per region under ``path/part_id=<n>/``, header first, then rows in order.
+    """Text files ``path/part_id=<n>/piece=<k>/``: first the header's, then one per piece, rows in order.
 
-    With a header, a region without rows gets a file that holds the header alone. A region too
-    large for one task is written as several files; each carries the header, and their name order
-    is the order along the genome.
+    A region's files in order of their paths are its whole text, the header once at its top; gzip
+    files can be joined as they are. The lanes of a cell are sorted runs; ``spread=1`` gives one run,
+    so that the whole text is sorted. A region without rows has the header's file alone, or none
+    without a header.
     """
-    slots = with_slots(df, num_parts, rank, pos, max_rows_per_task=max_rows_per_task)
-    body = slots.rows.select(
+    body = with_pieces(df, rank, pos, cell_width, spread).select(
         PART,
-        "slot",
+        PIECE,
         F.lit(1).alias("section"),
         F.lit(0).alias("number"),
         F.col(rank).alias("at_rank"),
@@ -43,16 +47,16 @@ def write_region_lines(
         line.alias("value"),
     )
     if header:
-        heads = df.sparkSession.createDataFrame(slots.table, f"slot int, {PART} int").select(
-            PART,
-            "slot",
+        heads = df.sparkSession.range(num_parts).select(
+            F.col("id").cast("int").alias(PART),
+            F.lit(HEADER_PIECE).alias(PIECE),
             F.lit(0).alias("section"),
             F.posexplode(F.array(*[F.lit(h) for h in header])).alias("number", "value"),
         )
         body = body.unionByName(heads, allowMissingColumns=True)
-    keys = [PART, "section", "number", "at_rank", "at_pos", *[f"then_{i}" for i in range(len(order))]]
-    placed = body.repartitionById(slots.count, "slot").sortWithinPartitions(*keys)
-    writer = placed.select(PART, "value").write.partitionBy(PART)
+    keys = [PART, PIECE, "section", "number", "at_rank", "at_pos", *[f"then_{i}" for i in range(len(order))]]
+    placed = body.repartition(PART, PIECE).sortWithinPartitions(*keys)
+    writer = placed.select(PART, PIECE, "value").write.partitionBy(PART, PIECE)
     if compression:
         writer = writer.option("compression", compression)
     writer.text(path)
@@ -94,15 +98,14 @@ def write_fastq(df: DataFrame, path: str) -> None:
 def write_alignments(
     df: DataFrame,
     path: str,
-    num_parts: int,
     rank: str = "contig_rank",
     pos: str = "alignmentStart",
-    max_rows_per_task: int | None = MAX_ROWS_PER_TASK,
+    cell_width: int = CELL_WIDTH,
+    spread: int = SPREAD,
 ) -> None:
-    """Alignment table as Parquet, one directory per region, sorted inside each file."""
-    slots = with_slots(df, num_parts, rank, pos, max_rows_per_task=max_rows_per_task)
-    placed = slots.rows.repartitionById(slots.count, "slot").sortWithinPartitions(PART, rank, pos)
-    placed.drop("slot", rank, "region_key").write.partitionBy(PART).parquet(path)
+    """Alignment table as Parquet, one directory per region and piece, sorted inside each file."""
+    placed = place(df, rank=rank, pos=pos, cell_width=cell_width, spread=spread)
+    placed.drop(rank, "region_key").write.partitionBy(PART, PIECE).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ",", header: bool = True) -> None:

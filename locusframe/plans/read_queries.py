@@ -111,16 +111,15 @@ SELECT c AS part_id, string_agg(id::VARCHAR, '' ORDER BY p, id) AS result FROM p
 UNION ALL SELECT 0, ''""",
 )
 def concat_text_keep_empty(spark: SparkSession, sf: str) -> DataFrame:
-    """One file per region; region 0 is a pseudo-contig without reads, so its file is empty."""
+    """Files of each region joined; region 0 is a pseudo-contig without reads, so it has none."""
     path = shared_path(spark, "region-ids")
     layout = layouts.chromosomes(spark, inputs.LENGTHS, (), extra="OTHER")
     reads = inputs.pairs(spark, sf).select("id", "referenceName", "alignmentStart")
     assigned = regions.assign_regions(reads, layout, "referenceName", "alignmentStart")
-    placed = placement.place(
-        assigned, layout.num_parts, ["part_id", "contig_rank", "alignmentStart", "id"], pos="alignmentStart"
-    )
-    placed.select(F.col("id").cast("string").alias("value")).write.text(path)
-    return collect.concat_text_keep_empty(spark, path, layout.num_parts).select("part_id", "result")
+    placed = placement.place(assigned, ["alignmentStart", "id"], pos="alignmentStart", spread=1)
+    ids = placed.select("part_id", "piece", F.col("id").cast("string").alias("value"))
+    ids.write.partitionBy("part_id", "piece").text(path)
+    return collect.join_pieces(collect.concat_text_keep_empty(spark, path, layout.num_parts))
 
 
 def _region_results(spark: SparkSession, sf: str) -> DataFrame:
@@ -160,7 +159,7 @@ def sum_partition_ints(spark: SparkSession, sf: str) -> DataFrame:
 def pipe_partitions(spark: SparkSession, sf: str) -> DataFrame:
     layout = layouts.chromosomes(spark, inputs.LENGTHS, ())
     placed = placement.partition_lines(inputs.vcf_lines(spark, sf), layout)
-    return pipe.pipe_partitions(placed, ["cat"])
+    return pipe.pipe_partitions(placed, ["cat"]).select("row")
 
 
 @query(

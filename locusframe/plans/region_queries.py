@@ -196,7 +196,7 @@ SELECT row, part_id FROM vcf JOIN regions r
   ON vcf.c = r.c AND p BETWEEN s - {inputs.PAD} AND e + {inputs.PAD}""",
 )
 def vcf_partition(spark: SparkSession, sf: str) -> DataFrame:
-    return placement.partition_lines(inputs.vcf_lines(spark, sf), inputs.windows(spark, inputs.PAD))
+    return placement.partition_lines(inputs.vcf_lines(spark, sf), inputs.windows(spark, inputs.PAD)).drop("piece")
 
 
 @query(
@@ -212,7 +212,7 @@ def alignment_partition(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("bed_partition", ENDPOINTS_SQL + "\nSELECT row, part_id FROM ends")
 def bed_partition(spark: SparkSession, sf: str) -> DataFrame:
-    return placement.partition_bed(inputs.bed_lines(spark, sf), inputs.windows(spark, inputs.PAD))
+    return placement.partition_bed(inputs.bed_lines(spark, sf), inputs.windows(spark, inputs.PAD)).drop("piece")
 
 
 @query(

@@ -267,5 +267,5 @@ def alignment_files(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_path(spark, "alignments")
     layout = layouts.preset(spark, "grch38part23")
     assigned = regions.assign_regions(inputs.pairs(spark, sf), layout, "referenceName", "alignmentStart")
-    sinks.write_alignments(assigned, path, layout.num_parts)
-    return spark.read.parquet(path).withColumn("raw_hex", F.hex("raw")).drop("raw")
+    sinks.write_alignments(assigned, path)
+    return spark.read.parquet(path).withColumn("raw_hex", F.hex("raw")).drop("raw", "piece")

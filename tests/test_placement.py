@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from locusframe.operators import chunks, index, placement, regions, sinks
+from locusframe.operators import chunks, collect, index, pipe, placement, regions, sinks
 from locusframe.sources import layouts
 
 LENGTHS = {"chr1": 400_000, "chr2": 400_000}
@@ -23,63 +23,87 @@ def located(df):
     return df.withColumn("task", F.spark_partition_id()).withColumn("row_no", F.monotonically_increasing_id())
 
 
-def test_one_region_per_task_in_order(spark):
-    layout = layouts.fixed(spark, LENGTHS, 100_000)
-    placed = located(placement.place(regions.assign_regions(reads(spark), layout), layout.num_parts))
-    rows = placed.orderBy("row_no").collect()
-    assert all(r.task == r.part_id for r in rows)
-    for part in range(layout.num_parts):
-        keys = [(r.contig_rank, r.pos) for r in rows if r.part_id == part]
-        assert keys == sorted(keys)
+def pieces_of(rows):
+    found = {}
+    for r in rows:
+        found.setdefault((r.part_id, r.piece), []).append(r)
+    return found
 
 
-@pytest.mark.parametrize("limit", [100, 700])
-def test_hot_regions_are_split_and_whole(spark, limit):
+def test_a_piece_is_in_one_task_and_in_order(spark):
     layout = layouts.fixed(spark, LENGTHS, 100_000)
     assigned = regions.assign_regions(reads(spark), layout)
-    rows = located(placement.place(assigned, layout.num_parts, max_rows_per_task=limit)).orderBy("row_no").collect()
+    rows = located(placement.place(assigned, cell_width=10_000)).orderBy("row_no").collect()
     assert sorted(r.id for r in rows) == list(range(6000))
-    tasks = {}
-    for r in rows:
-        tasks.setdefault(r.task, []).append(r)
-    assert len(tasks) > layout.num_parts
-    for members in tasks.values():
-        assert len({r.part_id for r in members}) == 1
-        assert len(members) <= 2.5 * limit
+    assert [(r.part_id, r.piece) for r in rows if r.task == rows[0].task] == sorted((r.part_id, r.piece) for r in rows if r.task == rows[0].task)
+    for members in pieces_of(rows).values():
+        assert len({r.task for r in members}) == 1
         keys = [(r.contig_rank, r.pos) for r in members]
         assert keys == sorted(keys)
+        assert members[0].pos // 10_000 == members[-1].pos // 10_000
+
+
+def test_pieces_do_not_depend_on_the_number_of_rows(spark):
+    layout = layouts.fixed(spark, LENGTHS, 100_000)
+    one = regions.assign_regions(reads(spark), layout)
+    many = one.crossJoin(spark.range(50).select(F.col("id").alias("copy")))
+    few, lot = (placement.place(df, cell_width=10_000).groupBy("part_id", "piece").count().collect() for df in (one, many))
+    assert {(r.part_id, r.piece) for r in few} == {(r.part_id, r.piece) for r in lot}
+    # The position with three tenths of all rows is in several pieces.
+    assert max(r["count"] for r in lot) < 0.15 * 300_000
+
+
+def test_placing_runs_no_job_while_it_is_planned(spark):
+    assigned = regions.assign_regions(reads(spark), layouts.fixed(spark, LENGTHS, 100_000))
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        placement.place(assigned)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("planning")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_rows_without_rank_are_split_too(spark):
     df = spark.range(4000).select("id", F.lit(0).alias("part_id"), F.lit(None).cast("int").alias("contig_rank"), F.lit(None).cast("long").alias("pos"))
-    rows = located(placement.place(df, 2, max_rows_per_task=500)).collect()
+    rows = placement.place(df, spread=8).collect()
     assert sorted(r.id for r in rows) == list(range(4000))
-    sizes = {}
-    for r in rows:
-        sizes[r.task] = sizes.get(r.task, 0) + 1
-    assert len(sizes) >= 8 and max(sizes.values()) <= 1000
+    assert len(pieces_of(rows)) == 8 and max(map(len, pieces_of(rows).values())) <= 1000
+
+
+def test_unassigned_rows_share_no_piece_with_a_region(spark):
+    layout = layouts.fixed(spark, LENGTHS, 100_000)
+    df = reads(spark, 300).withColumn("pos", F.col("pos") * 4)
+    placed = placement.place(regions.assign_regions(df, layout, unmatched="keep"))
+    counted = pipe.pipe_partitions(placed.withColumn("row", F.col("id").cast("string")), ["wc", "-l"])
+    got = {r.part_id: r.n for r in counted.groupBy("part_id").agg(F.sum(F.col("row").cast("int")).alias("n")).collect()}
+    want = {r.part_id: r["count"] for r in placed.groupBy("part_id").count().collect()}
+    assert got == want and -1 in got
 
 
-def test_hot_region_files(spark, tmp_path):
+@pytest.mark.parametrize("spread", [1, 3])
+def test_region_files(spark, tmp_path, spread):
     layout = layouts.fixed(spark, LENGTHS, 100_000)
     assigned = regions.assign_regions(reads(spark).filter("pos < 300000"), layout)
     line = F.concat_ws("\t", "contig", "pos", "id")
     path = str(tmp_path / "out")
-    sinks.write_region_lines(assigned, path, layout.num_parts, line, ["#a", "#b"], max_rows_per_task=500)
+    sinks.write_region_lines(assigned, path, layout.num_parts, line, ["#a", "#b"], cell_width=20_000, spread=spread)
     files = {}
-    for folder in (tmp_path / "out").glob("part_id=*"):
-        for file in folder.glob("part-*"):
-            files.setdefault(int(folder.name.split("=")[1]), []).append(file.read_text().splitlines())
+    for file in sorted((tmp_path / "out").glob("part_id=*/piece=*/part-*")):
+        files.setdefault(int(file.parts[-3].split("=")[1]), []).append(file.read_text().splitlines())
     assert set(files) == set(range(layout.num_parts))
     assert files[3] == [["#a", "#b"]]  # a region without rows
-    assert len(files[0]) > 1
-    data = [line for parts in files.values() for part in parts for line in part if not line.startswith("#")]
-    assert sorted(data) == sorted(r[0] for r in assigned.select(line).collect())
+    assert len(files[0]) > 2
     for parts in files.values():
-        for part in parts:
-            assert part[:2] == ["#a", "#b"]
-            positions = [int(x.split("\t")[1]) for x in part[2:]]
-            assert positions == sorted(positions)
+        assert parts[0] == ["#a", "#b"]
+        runs = [[int(x.split("\t")[1]) for x in part] for part in parts[1:]]
+        assert all(run == sorted(run) for run in runs)
+        if spread == 1:
+            whole = [p for run in runs for p in run]
+            assert whole == sorted(whole)
+    data = [line for parts in files.values() for part in parts[1:] for line in part]
+    assert sorted(data) == sorted(r[0] for r in assigned.select(line).collect())
+    texts = collect.join_pieces(collect.concat_text(spark, path)).collect()
+    assert {r.part_id: r.result for r in texts} == {n: "".join(x for part in parts for x in part) for n, parts in files.items()}
 
 
 def test_genome_sort_puts_unmapped_last_and_spreads_them(spark):
