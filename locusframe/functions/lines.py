@@ -16,9 +16,12 @@ def field(row: Column, position: int) -> Column:
 
 
 def int_field(row: Column, position: int) -> Column:
-    """0-based tab field as a long, null on a short line. Text that is not a number fails the query."""
+    """0-based tab field as a long, null on a short line. Text that is not a number fails the query.
+
+    The error names the class that a cast in ANSI mode gives, and is raised without that mode, too.
+    """
     text = field(row, position)
-    wrong = F.raise_error(F.concat(F.lit("not an integer: "), text)).cast("long")
+    wrong = F.raise_error(F.concat(F.lit("CAST_INVALID_INPUT, not an integer: "), text)).cast("long")
     return F.when(text.isNotNull(), F.coalesce(text.try_cast("long"), wrong))
 
 
