@@ -21,9 +21,10 @@ its prefix is met. Nothing is renamed and nothing recurses.
 4. Spans of all contexts are united for each distinct text.
 
 Texts are handled once per distinct text and named by a 64-bit hash. Null and empty texts and those
-shorter than ``length`` have no span. Repeated rows are each other's repetition. Of a gram's contexts only
-different ones are together in one task; texts with the same 100 bytes but different surroundings could
-make that large, and this is the one group that is not split further.
+shorter than ``length`` have no span. Repeated rows are each other's repetition. No task holds all anchors of a
+frequent gram: these are counted before the shuffle and their sums are broadcast. A gram with more different
+contexts than a tenth of a block is in no block: each of its contexts gives a hash of every string of ``length``
+bytes around the gram, with the column it starts at, and a string that two contexts give occurs again.
 """
 
 from __future__ import annotations
@@ -260,6 +261,41 @@ def _spans_of_block(length: int, gram: int):
     return run
 
 
+def _strings_of_contexts(length: int, gram: int):
+    left, width = length - gram, 2 * length - gram
+    power = np.cumprod(np.r_[np.uint64(1), np.full(width - 1, _BASE, np.uint64)])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """(h, s, g, th, p, m): column and hash of every string of ``length`` bytes around a context's gram."""
+        for whole in frames:
+            for at in range(0, len(whole), 1000):
+                frame = whole.iloc[at : at + 1000]
+                contexts = np.frombuffer(b"".join(frame["bytes"]), np.uint8).reshape(-1, width)
+                total = np.zeros((len(contexts), width + 1), np.uint64)
+                np.cumsum((contexts.astype(np.uint64) + np.uint64(1)) * power, axis=1, out=total[:, 1:])
+                hashes = mixed(total[:, length:] - total[:, : left + 1])
+                columns = np.arange(left + 1)
+                inside = (columns >= frame["low"].to_numpy()[:, None]) & (columns + length <= frame["high"].to_numpy()[:, None])
+                owner, s = np.nonzero(inside)
+                made = {"h": frame["h"].to_numpy()[owner], "s": s.astype(np.int32), "g": hashes[owner, s].astype(np.int64)}
+                yield pd.DataFrame(made | {c: frame[c].to_numpy()[owner] for c in ("th", "p", "m")})
+
+    return run
+
+
+def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The stored rows with the number ``n`` of rows of equal ``keys``.
+
+    Keys of more than a thousandth of the rows (and 1000) are counted before the shuffle, and their rows are dealt at random.
+    """
+    most = max(1000, rows.count() // 1000)
+    heavy = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("heavy")).filter(F.col("heavy") > most), "heavy")
+    marked = rows.join(F.broadcast(heavy), keys, "left")
+    salt = F.when(F.col("heavy").isNotNull(), F.xxhash64("th", "p")).otherwise(0)
+    near = F.count(F.lit(1)).over(Window.partitionBy(*keys, "salt"))
+    return marked.withColumn("salt", salt).withColumn("n", F.coalesce("heavy", near)).drop("heavy", "salt")
+
+
 def united(spans, size: int) -> list[tuple[int, int]]:
     """Maximal runs of the bytes in the spans."""
     out: list[list[int]] = []
@@ -299,16 +335,27 @@ def repeated_spans(
                 yield pd.DataFrame({"h": h, "c": c, "th": np.concatenate(names), "p": p, "copies": np.concatenate(copies)})
 
     rows = documents.select(F.xxhash64(column(text)).alias("th"), column(text).alias("text")).filter("text IS NOT NULL")
-    met = rows.mapInPandas(anchors, "h long, c long, th long, p long, copies long")
-    live = met.withColumn("n", F.sum("copies").over(Window.partitionBy("h"))).filter("n > 1")
-    live = live.withColumn("m", F.sum("copies").over(Window.partitionBy("h", "c"))).select("h", "c", "th", "p", "m")
-    live = stored(live, "anchors")
-    mixed_groups = live.groupBy("h").agg(F.min("m").alias("m"), F.min("c").alias("low"), F.max("c").alias("high"))
-    mixed_groups = mixed_groups.filter("m = 1 AND low != high").select("h")
-    needed = live.join(mixed_groups, "h", "left_semi").groupBy("h", "c").agg(F.min(F.struct("th", "p")).alias("at"), F.max("m").alias("m"))
+    met = stored(rows.mapInPandas(anchors, "h long, c long, th long, p long, copies long"), "met")
+    most = max(1000, met.count() // 1000)
+    grams = met.groupBy("h").agg(F.count(F.lit(1)).alias("rows"), (F.min("c") != F.max("c")).alias("heavy"))
+    grams = stored(grams.filter(F.col("rows") > most).select("h", "heavy"), "heavy-grams")
+    rows = met.join(F.broadcast(grams), "h", "left")
+    # Rows of all other grams are one group here.
+    of_heavy = [F.when(F.col("heavy").isNotNull(), F.col(k)).alias(k) for k in ("h", "c")]
+    sums = rows.groupBy(*of_heavy).agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("whole"))
+    sums = stored(sums.filter((F.col("rows") > most) & F.col("h").isNotNull()).select("h", "c", "whole"), "heavy-contexts")
+    rows = rows.join(F.broadcast(sums), ["h", "c"], "left")
+    # A heavy gram is dealt by context, and a heavy context by place.
+    salt = F.when(F.col("heavy").isNull(), 0).when(F.col("whole").isNull(), F.xxhash64("c")).otherwise(F.xxhash64("th", "p"))
+    rows = rows.withColumn("salt", salt)
+    gram_rows, same = Window.partitionBy("h", "salt"), Window.partitionBy("h", "salt", "c")
+    rows = rows.withColumn("n", F.sum("copies").over(gram_rows)).filter("n > 1 OR heavy IS NOT NULL")
+    rows = rows.withColumn("m", F.coalesce("whole", F.sum("copies").over(same)))
+    rows = rows.withColumns({"least": F.min("m").over(gram_rows), "low": F.min("c").over(gram_rows), "high": F.max("c").over(gram_rows)})
+    unlike = F.coalesce(F.col("heavy"), (F.col("least") == 1) & (F.col("low") != F.col("high")))
+    live = stored(rows.select("h", "c", "th", "p", "m", unlike.alias("unlike")), "anchors")
+    needed = live.filter("unlike").groupBy("h", "c").agg(F.min(F.struct("th", "p")).alias("at"), F.max("m").alias("m"))
     needed = stored(needed.select("h", "c", "at.th", "at.p", "m"), "contexts")
-    wanted = needed.groupBy("th").agg(F.collect_list(F.struct("h", "c", "p", "m")).alias("list"))
-
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
@@ -323,12 +370,27 @@ def repeated_spans(
             yield pd.DataFrame(out, columns=["h", "c", "th", "p", "m", "low", "high", "bytes"])
 
     kind = "h long, c long, th long, p long, m long, low int, high int, bytes binary"
-    contexts = distinct_texts(documents, text).join(wanted, "th").mapInPandas(cut, kind)
+
+    def contexts(some: DataFrame) -> DataFrame:
+        wanted = some.groupBy("th").agg(F.collect_list(F.struct("h", "c", "p", "m")).alias("list"))
+        return distinct_texts(documents, text).join(wanted, "th").mapInPandas(cut, kind)
+
+    crowded = needed.groupBy("h").agg(F.count(F.lit(1)).alias("rows"))
+    crowded = stored(crowded.filter(F.col("rows") > max(1, contexts_per_block // 10)).select("h"), "crowded")
+    rest = needed.join(F.broadcast(crowded), "h", "left_anti")
     blocks = max(1, needed.count() // contexts_per_block)
     block = F.pmod(F.xxhash64("h", F.lit(8)), F.lit(blocks)).alias("block")
-    found = contexts.withColumn("block", block).groupBy("block").applyInPandas(
+    found = contexts(rest).withColumn("block", block).groupBy("block").applyInPandas(
         _spans_of_block(length, gram), "th long, start long, stop long"
     )
+    if not crowded.isEmpty():
+        of_crowded = contexts(needed.join(F.broadcast(crowded), "h", "left_semi"))
+        kind_of_string = "h long, s int, g long, th long, p long, m long"
+        strings = stored(of_crowded.mapInPandas(_strings_of_contexts(length, gram), kind_of_string), "strings")
+        again = counted(strings, ["h", "s", "g"]).filter("n > 1 AND m = 1")
+        # Strings of one context all hold its gram, so those that occur again cover one span.
+        ends = again.groupBy("th", "p").agg(F.min("s").alias("first"), F.max("s").alias("last"))
+        found = found.union(ends.select("th", F.expr(f"p - {left} + first"), F.expr(f"p - {left} + last + {length}")))
     whole = live.filter("m > 1").select("th", F.greatest(F.col("p") - left, F.lit(0)).alias("start"), (F.col("p") + length).alias("stop"))
     spans = found.union(whole)
     return spans.groupBy("th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))

@@ -250,6 +250,56 @@ def test_repeated_bytes_equal_brute_force(spark, texts):
     assert suffixarray.removal_digest(documents(spark, []), 200).count() == 0
 
 
+def test_repeated_bytes_of_a_frequent_gram(spark, monkeypatch):
+    chance = random.Random(14)
+    footer, part = prose(chance, 60)[:130], prose(chance, 60)[:120]
+    many = [prose(chance, 60) + footer + prose(chance, 60) for _ in range(60)]
+    many += [prose(chance, 40) + part[chance.randrange(60) :] + footer + part[: chance.randrange(120)] + prose(chance, 40) for _ in range(60)]
+    many += [many[3], many[70], footer + part, part + footer, "ab" * 400, "ab" * 150 + "c" + "ab" * 150]
+    rows = documents(spark, many)
+    spans_of_block = suffixarray._spans_of_block
+
+    def bounded(length, gram):
+        run = spans_of_block(length, gram)
+
+        def checked(frame):
+            assert frame.groupby("h").size().max() <= 2
+            return run(frame)
+
+        return checked
+
+    monkeypatch.setattr(suffixarray, "_spans_of_block", bounded)
+    spans = suffixarray.repeated_spans(rows, 200, contexts_per_block=20)
+    found = {r["text"]: r["found"] for r in suffixarray.per_text(rows, spans, lambda data, f: (data.decode(), f), "text string, found array<struct<a:int,b:int>>").collect()}
+    data, starts = [t.encode() for t in many], {}
+    for b in data:
+        for i in range(len(b) - 199):
+            starts[b[i : i + 200]] = starts.get(b[i : i + 200], 0) + 1
+    for text, b in zip(many, data, strict=True):
+        wanted = suffixarray.united([(i, i + 200) for i in range(len(b) - 199) if starts[b[i : i + 200]] > 1], len(b))
+        assert [tuple(f) for f in found.get(text, [])] == wanted
+    assert any(found.values())
+
+
+def test_repeated_bytes_of_heavy_grams_and_contexts(spark):
+    chance = random.Random(15)
+    footer = prose(chance, 60)[:130]
+    shared = prose(chance, 60)[:110] + footer + prose(chance, 60)[:110]
+    # Two grams with over 1,000 rows: one whose contexts all differ, and one where most are equal.
+    many = [prose(chance, 30)[:110] + footer + prose(chance, 30)[:110] for _ in range(1100)]
+    many += [f"{i:05d}" + shared + f"{i:05d}" for i in range(1100)]
+    rows = suffixarray.removal_digest(documents(spark, many), 200).select("n_bytes", "n_removed").collect()
+    data, starts = [t.encode() for t in many], {}
+    for b in data:
+        for i in range(len(b) - 199):
+            starts[b[i : i + 200]] = starts.get(b[i : i + 200], 0) + 1
+    wanted = []
+    for b in data:
+        spans = suffixarray.united([(i, i + 200) for i in range(len(b) - 199) if starts[b[i : i + 200]] > 1], len(b))
+        wanted.append((len(b), sum(e - a for a, e in spans)))
+    assert sorted(map(tuple, rows)) == sorted(wanted)
+
+
 def test_leaks(spark, texts):
     chance = random.Random(9)
     items = [(i, prose(chance, 20) + ".\n" + prose(chance, 8)) for i in range(30)] + [(90, None), (91, "")]
