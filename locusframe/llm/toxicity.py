@@ -1,10 +1,11 @@
 """Toxicity: noisy-channel restoration of disguised words, then a score of the restored text.
 
-Restoration. A word that holds digits or signs among letters, letters cut by separators, a run of three
-equal letters, or a run of single letters with spaces between them is a lattice: each character may stand
+Restoration. A word that holds digits, signs, letters cut by separators, or a letter twice in a row, or a run
+of single letters with any white space between them is a lattice: each character may stand
 for itself, for the letters it resembles, or for nothing (separators, signs, repetitions); a separator may
 also end a word. Viterbi search finds the likeliest reading under a character trigram model with the
-channel's costs. Plain words stand for themselves.
+channel's costs. A word without letters is a number, and dropped, unless its reading is likelier than letters
+drawn evenly. Plain words stand for themselves.
 
 Language model. Trigram counts of letters come from all documents: every batch gives one table of counts,
 and these are added by Spark. A table has at most ``SYMBOLS ** 3`` entries, which bounds the broadcast model.
@@ -50,9 +51,9 @@ SEPARATORS = " .,-_*~'`:;/\\\"^=#%&"
 # that ends a word, a repeated letter that stands for nothing (in a run of three or more, and of two).
 RESEMBLES, NO_SIGN, NO_SEPARATOR, ENDS_WORD, LONG_RUN, SHORT_RUN = 0.5, 4.0, 0.3, 1.5, 0.1, 4.0
 
-_SPACED = re.compile(r"(?<!\S)\S(?: {1,3}\S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S){2,}(?!\S)")
 _EDGES = ".,;:?\"'()[]{}<>&%#*~=^`-_/\\"
-_LONG_RUN = re.compile(r"(.)\1\1")
+_REPEATED = re.compile(r"(.)\1")
 _CUT_LETTERS = re.compile(r"(?:[^\W_][-._*~'`]){2,}[^\W_]")
 
 
@@ -65,8 +66,12 @@ class Restorer:
     def options(self, word: str) -> list[list[tuple[str, float]]]:
         """For each character the texts it may stand for, with their costs."""
         lattice = []
+        ending = len(word.rstrip("!"))
         for i, c in enumerate(word):
-            if c in DIGITS:
+            if i >= ending:
+                # A mark at the end is mostly no letter.
+                here = [(x, RESEMBLES) for x in SIGNS[c]] + [("", NO_SEPARATOR)]
+            elif c in DIGITS:
                 here = [(x, RESEMBLES) for x in DIGITS[c]]
             elif c in SIGNS:
                 here = [*((x, RESEMBLES) for x in SIGNS[c]), ("", NO_SIGN)]
@@ -84,6 +89,10 @@ class Restorer:
 
     def restore(self, word: str) -> str:
         """The likeliest reading, with spaces where words end inside it."""
+        return self.reading(word)[1]
+
+    def reading(self, word: str) -> tuple[float, str]:
+        """The cost of the likeliest reading, and the reading."""
         model, n = self.model, SYMBOLS
         best = {(0, 0): (0.0, None)}
         for options in self.options(word):
@@ -104,34 +113,34 @@ class Restorer:
                         following[state] = (total, made)
             best = following
         ends = [(cost - model[(a * n + b) * n] if b else cost, path) for (a, b), (cost, path) in best.items()]
-        path = min(ends, key=lambda e: e[0])[1]
+        cost, path = min(ends, key=lambda e: e[0])
         out = []
         while path is not None:
             out.append(path[0])
             path = path[1]
-        return "".join(reversed(out))
+        return cost, "".join(reversed(out))
 
     def words(self, word: str) -> tuple[str, ...]:
         """The restored words of one lower-case word of a text."""
         core = word.strip(_EDGES)
-        if core.isalpha() and not _LONG_RUN.search(core):
+        if core.isalpha() and not _REPEATED.search(core):
             return (core,)
-        bare = core.rstrip("!$|+@") if _LONG_RUN.search(core[-3:]) or core[-1:] == "!" else core
-        if bare.isalpha() and not _LONG_RUN.search(bare):
-            return (bare,)
-        if not any(c.isalpha() for c in bare):
-            return ()
-        parts = [p for p in re.split(r"[^\w@$!|+€£¡(]+|_", bare) if p]
-        if _CUT_LETTERS.search(bare) or len(parts) < 2:
-            found = self.restore(bare).split()
+        if not any(c.isalpha() for c in core):
+            if not core:
+                return ()
+            cost, text = self.reading(core)
+            return tuple(text.split()) if cost < len(core) * math.log(SYMBOLS) else ()
+        parts = [p for p in re.split(r"[^\w@$!|+€£¡(]+|_", core) if p]
+        if _CUT_LETTERS.search(core) or len(parts) < 2:
+            found = self.restore(core).split()
         else:
-            found = [r for p in parts for r in ([p] if p.isalpha() and not _LONG_RUN.search(p) else self.restore(p).split())]
+            found = [r for p in parts for r in ([p] if p.isalpha() and not _REPEATED.search(p) else self.restore(p).split())]
             found.append("".join(found))
         return tuple(found)
 
     def spaced(self, text: str) -> list[str]:
-        """Restored words of runs of single characters with spaces between them."""
-        return [w for hit in _SPACED.findall(text) for w in self.restore(hit).split() if len(w) > 1]
+        """Restored words of runs of single characters with white space between them."""
+        return [w for hit in _SPACED.findall(text) for w in self.restore(" ".join(hit.split())).split() if len(w) > 1]
 
 
 def count_trigrams(texts) -> np.ndarray:

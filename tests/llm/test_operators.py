@@ -143,6 +143,20 @@ def test_restoration():
     assert restorer.spaced("a l o s e r") and restorer.words("2024") == ()
 
 
+def test_restoration_of_signs_at_the_end_and_repeated_letters():
+    model = np.zeros((toxicity.SYMBOLS,) * 3) - 3.0
+    for word in ("dumbass", "ass", "idiot", "stupid"):
+        codes = [0, 0, *(toxicity._CODES[c] for c in word), 0]
+        for a, b, c in zip(codes, codes[1:], codes[2:], strict=False):
+            model[a, b, c] = -0.1
+    restorer = toxicity.Restorer(model)
+    written = {"dumba$$!": "dumbass", "idio+!": "idiot", "4$$": "ass", "455": "ass", "stuupid": "stupid", "iidiot": "idiot", "idiot!!!": "idiot", "dumbass": "dumbass"}
+    assert {w: restorer.words(w) for w in written} == {w: (r,) for w, r in written.items()}
+    assert restorer.words("a$$$")[0].startswith("ass")
+    assert restorer.words("!!") == restorer.words("2024") == restorer.words("--") == ()
+    assert restorer.spaced("x\ni\nd\ti\n\no     t\n") and "idiot" in restorer.spaced("i\nd\ti\n\no     t\n")
+
+
 def test_scores(spark, texts):
     chance = random.Random(8)
     good = [prose(chance, 40) for _ in range(60)]
