@@ -52,7 +52,8 @@ def concat_text_keep_empty(spark: SparkSession, path: str, num_parts: int) -> Da
 def join_pieces(texts: DataFrame) -> DataFrame:
     """(part_id, result): the texts of a region's files joined in the order of their paths.
 
-    Meant for short texts, such as a command gives per piece; a region has as many as it has pieces.
+    Meant for short texts, such as a command gives per piece; a region has as many as it has pieces. One task
+    makes a region's whole text, which a value's limit of 2 GB bounds.
     """
     ordered = F.array_sort(F.collect_list(F.struct(F.coalesce("fqn", F.lit("")).alias("fqn"), "result")))
     return texts.groupBy(PART).agg(F.array_join(F.transform(ordered, lambda t: t["result"]), "").alias("result"))

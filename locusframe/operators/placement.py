@@ -58,6 +58,18 @@ def place(
     return pieces.repartition("part_id", "piece").sortWithinPartitions("part_id", "piece", *keys)
 
 
+def place_in_order(
+    df: DataFrame, order: Sequence[str], rank: str = "contig_rank", pos: str = "pos", cell_width: int = CELL_WIDTH
+) -> DataFrame:
+    """Rows with their ``piece`` of one lane, in ranges of (part_id, piece, ``order``), sorted.
+
+    A hot cell, or a hot position if ``order`` goes on behind it, is cut into several tasks. A piece's files in
+    order of their names hold its rows in order.
+    """
+    keys = ["part_id", "piece", *order]
+    return with_pieces(df, rank, pos, cell_width, 1).repartitionByRange(*keys).sortWithinPartitions(*keys)
+
+
 def partition_lines(df: DataFrame, layout: Layout, row: str = "row") -> DataFrame:
     """Variant lines to regions by their first two fields; gives (row, part_id, piece)."""
     assigned = regions.assign_lines(df.select(row), layout, row)

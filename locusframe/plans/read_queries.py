@@ -116,7 +116,7 @@ def concat_text_keep_empty(spark: SparkSession, sf: str) -> DataFrame:
     layout = layouts.chromosomes(spark, inputs.LENGTHS, (), extra="OTHER")
     reads = inputs.pairs(spark, sf).select("id", "referenceName", "alignmentStart")
     assigned = regions.assign_regions(reads, layout, "referenceName", "alignmentStart")
-    placed = placement.place(assigned, ["alignmentStart", "id"], pos="alignmentStart", spread=1)
+    placed = placement.place_in_order(assigned, ["alignmentStart", "id"], pos="alignmentStart")
     ids = placed.select("part_id", "piece", F.col("id").cast("string").alias("value"))
     ids.write.partitionBy("part_id", "piece").text(path)
     return collect.join_pieces(collect.concat_text_keep_empty(spark, path, layout.num_parts))

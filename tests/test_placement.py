@@ -1,9 +1,12 @@
 """Physical placement, hot regions, global order and row numbers."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from locusframe.operators import chunks, collect, index, pipe, placement, regions, sinks
+from locusframe.plans import read_queries
 from locusframe.sources import layouts
 
 LENGTHS = {"chr1": 400_000, "chr2": 400_000}
@@ -106,6 +109,26 @@ def test_region_files(spark, tmp_path, spread):
     assert {r.part_id: r.result for r in texts} == {n: "".join(x for part in parts for x in part) for n, parts in files.items()}
 
 
+def test_concatenated_reads_of_a_hot_cell_are_many_files_in_order(spark, monkeypatch):
+    chance = random.Random(7)
+    rows = [(i, "chr1", 5 if i % 2 else chance.randrange(1, 900)) for i in range(4000)] + [(9000, "chr2", 7)]
+    chance.shuffle(rows)
+    frame = spark.createDataFrame(rows, "id long, referenceName string, alignmentStart long")
+    monkeypatch.setattr(read_queries.inputs, "pairs", lambda spark, sf: frame)
+    texts = []
+    join = read_queries.collect.join_pieces
+    monkeypatch.setattr(read_queries.collect, "join_pieces", lambda t: texts.append(t) or join(t))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r.part_id: r.result for r in read_queries.concat_text_keep_empty(spark, "").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for contig in ("chr1", "chr2"):
+        assert "".join(str(i) for i, c, p in sorted(rows, key=lambda r: (r[2], r[0])) if c == contig) in found.values()
+    longest = texts[0].agg(F.max(F.length("result"))).first()[0]
+    assert longest < 0.5 * max(map(len, found.values()))
+
+
 def test_genome_sort_puts_unmapped_last_and_spreads_them(spark):
     df = spark.range(3000).select(
         "id",
