@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.llm import decontamination, graphsearch, ngramjoin, packing, quality, sharding, suffixarray, tokencount, toxicity, urlrules
+from locusframe.llm import (
+    alignment,
+    decontamination,
+    fillmiddle,
+    graphsearch,
+    kdtree,
+    ngramjoin,
+    packing,
+    quality,
+    sharding,
+    suffixarray,
+    tokencount,
+    toxicity,
+    urlrules,
+)
 from locusframe.llm.common import held_out, table
 
 QUERIES = {}
@@ -100,6 +114,25 @@ def op10_url_rules(spark: SparkSession, sf: str) -> DataFrame:
     return urlrules.judge(pages, SITE_RULES, urlrules.DEFAULT_RULES).drop("url")
 
 
+@query
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment_scores(table(spark, sf, "documents"), a, b)
+
+
+@query
+def op12_exact_search(spark: SparkSession, sf: str) -> DataFrame:
+    return kdtree.top_products(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=64)
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    rows = fillmiddle.restore(fillmiddle.fill_in_middle(documents, seed=42))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def _url_sql() -> str:
     def matches(action: str) -> str:
         tests = [f"regexp_matches(lower(url), '{urlrules.regular(p)}')" for p, a in urlrules.DEFAULT_RULES if a == action]
@@ -129,3 +162,36 @@ FROM ruled"""
 
 
 ORACLES["op10_url_rules"] = _url_sql()
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+  FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(u) + 1) AS c1, ('0x' || substr(h, 9, 8))::BIGINT % (len(u) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM units),
+parts AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS p, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS s
+  FROM drawn)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+# Integer products are exact in any order of addition.
+ORACLES["op12_exact_search"] = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20"""
