@@ -12,8 +12,8 @@ the bytes into pieces, and each piece lies in just one A and one B token, so lin
 3. Counts. The number of bits in the OR of a pair's planes is its number of documents; the bits of plane j, each 2**j
    times, are its links. A chunk's counts are added up by Spark for cells (pair and a bounded range of chunks),
    then for pairs. ``pair_counts`` gives these sums.
-4. Scores. Counts go back to the postings over the cells, so that no task gets all chunks of a frequent pair; then each
-   chunk gets its postings together and adds, for each document of a plane, 2**j times the pair's score.
+4. Scores. Counts go back to the postings' names over the cells, so that no task gets all chunks of a frequent pair; then
+   each chunk gets its postings and their counts together and adds, for each document of a plane, 2**j times the count.
 
 Texts null or empty, or whose tokens do not give back the text's bytes with one space before it, have no
 tokens: zeros, and an empty digest. Repeated rows and ids each count on their own. Other columns of the input are
@@ -30,6 +30,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -309,16 +310,26 @@ def _chunked(a_model, b_model, chunk_bytes: int, max_docs: int):
     return run
 
 
-def _scored(documents: pa.Table, postings: pa.Table) -> pa.Table:
-    """Scores of a chunk's documents from all its postings."""
+_OF_DOCUMENTS = ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"]
+
+
+def _scored(rows: pa.Table, counts: pa.Table) -> pa.Table:
+    """Scores of a chunk's documents from all its postings and the counts of their pairs."""
     best, total = np.zeros(DOCS, np.int64), np.zeros(DOCS, np.int64)
+    is_posting = pc.equal(rows["kind"], "posting")
+    documents, postings = rows.filter(pc.invert(is_posting)), rows.filter(is_posting)
+    names = (postings["a"], postings["b"]), (counts["of_a"], counts["of_b"])
+    wanted, given = (a.to_numpy().astype(np.int64) << 16 | b.to_numpy().astype(np.int64) for a, b in names)
+    order = np.argsort(given)
+    at = order[np.searchsorted(given, wanted, sorter=order)]
+    count, top = counts["count"].to_numpy()[at], counts["top"].to_numpy()[at]
     lists = postings["planes"].combine_chunks()
     planes = lists.flatten().to_pylist()
     lengths = lists.value_lengths().to_numpy()
     level = np.arange(len(planes)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     one = np.left_shift(1, level)
-    weight = np.repeat(postings["count"].to_numpy(), lengths) * one
-    of_best = np.repeat(postings["top"].to_numpy(), lengths) * one
+    weight = np.repeat(count, lengths) * one
+    of_best = np.repeat(top, lengths) * one
     size = np.array([len(p) for p in planes], np.int64)
     short = size < DOCS // 8
     docs = np.frombuffer(b"".join(p for p in planes if len(p) < DOCS // 8), "<u2")
@@ -329,15 +340,14 @@ def _scored(documents: pa.Table, postings: pa.Table) -> pa.Table:
         total[docs] += weight[i]
         best[docs] += of_best[i]
     at = documents["no"].to_numpy()
-    rows = documents.drop_columns(["chunk", "no"])
-    return rows.append_column("n_best", pa.array(best[at])).append_column("count_sum", pa.array(total[at]))
+    return documents.select(_OF_DOCUMENTS).append_column("n_best", pa.array(best[at])).append_column("count_sum", pa.array(total[at]))
 
 
 def aligned_chunks(
     documents: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id", text: str = "text",
     chunk_bytes: int = CHUNK_BYTES, docs: int = DOCS,
-) -> tuple[DataFrame, DataFrame]:
-    """(documents with their counts and digests, postings), both stored.
+) -> DataFrame:
+    """The rows of all chunks, stored: ``kind`` tells documents, with their counts and digests, from postings.
 
     ``a_path`` is a byte-level vocabulary in JSON, ``b_path`` a sentencepiece model; the driver reads both and sends
     them along.
@@ -348,18 +358,17 @@ def aligned_chunks(
     with open(a_path, encoding="utf-8") as a_file, open(b_path, "rb") as b_file:
         a_model, b_model = context.broadcast(a_file.read()), context.broadcast(b_file.read())
     rows = documents.select(column(id_column).cast("string").alias("id"), column(text).alias("text"))
-    made = stored(rows.mapInArrow(_chunked(a_model, b_model, chunk_bytes, docs), _CHUNKS), "alignment")
-    of_documents = made.filter("kind = 'document'").select("chunk", "no", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
-    return of_documents, made.filter("kind = 'posting'").select("cell", "chunk", "a", "b", "docs", "links", "planes")
+    return stored(rows.mapInArrow(_chunked(a_model, b_model, chunk_bytes, docs), _CHUNKS), "alignment")
 
 
-def _cells(postings: DataFrame) -> DataFrame:
+def _cells(chunks: DataFrame) -> DataFrame:
+    postings = chunks.filter("kind = 'posting'")
     return postings.groupBy("a", "b", "cell").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
 
 
-def pair_counts(postings: DataFrame) -> DataFrame:
+def pair_counts(chunks: DataFrame) -> DataFrame:
     """(a, b, docs, links): documents and links of each id pair that is linked anywhere."""
-    return _cells(postings).groupBy("a", "b").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
+    return _cells(chunks).groupBy("a", "b").agg(F.sum("docs").alias("docs"), F.sum("links").alias("links"))
 
 
 def alignment_scores(
@@ -367,16 +376,19 @@ def alignment_scores(
     chunk_bytes: int = CHUNK_BYTES, docs: int = DOCS,
 ) -> DataFrame:
     """One row per document: id, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum``, ``groups_sha256``."""
-    of_documents, postings = aligned_chunks(documents, a_path, b_path, id_column, text, chunk_bytes, docs)
-    cells = stored(_cells(postings), "pair-cells")
+    chunks = aligned_chunks(documents, a_path, b_path, id_column, text, chunk_bytes, docs)
+    cells = stored(_cells(chunks), "pair-cells")
     pairs = cells.groupBy("a", "b").agg(F.sum("links").alias("count"))
     # A window group has the A ids linked to one B id: at most a vocabulary.
     pairs = pairs.withColumn("top", F.col("count") == F.max("count").over(Window.partitionBy("b")))
     known = cells.select("a", "b", "cell").join(pairs, ["a", "b"])
-    returned = postings.join(known, ["a", "b", "cell"]).select(F.col("chunk").alias("of_chunk"), "planes", "count", "top")
-    fields = [f.name + " " + f.dataType.simpleString() for f in of_documents.schema if f.name not in ("chunk", "no")]
+    # Only names of postings meet the counts; their planes are sent once, to the chunk.
+    named = chunks.filter("kind = 'posting'").select("a", "b", "cell", F.col("chunk").alias("of_chunk"))
+    returned = named.join(known, ["a", "b", "cell"]).select("of_chunk", F.col("a").alias("of_a"), F.col("b").alias("of_b"), "count", "top")
+    whole = chunks.select("chunk", "kind", "no", *_OF_DOCUMENTS, "a", "b", "planes")
+    fields = [f"{f.name} {f.dataType.simpleString()}" for f in whole.select(*_OF_DOCUMENTS).schema]
     scored = (
-        of_documents.groupBy("chunk")
+        whole.groupBy("chunk")
         .cogroup(returned.groupBy("of_chunk"))
         .applyInArrow(_scored, ", ".join([*fields, "n_best long", "count_sum long"]))
     )

@@ -1,6 +1,7 @@
 """Alignment of tokenizers, exact search and fill-in-middle against brute force, on small tables with odd rows."""
 
 import hashlib
+import json
 import random
 import re
 from collections import Counter
@@ -24,7 +25,7 @@ def prose(chance, n):
 def texts():
     chance = random.Random(5)
     odd = [None, "", " ", "one", "one", "  two  blanks ", "tab\there", "line\n\nbreak", "▁ sign", "<|endoftext|> a</s><unk>", "😀é", "\x00z"]
-    return [*odd, *(prose(chance, chance.randint(1, 60)) for _ in range(40)), prose(chance, 8000), "q" * 5000]
+    return [*odd, *(prose(chance, chance.randint(1, 60)) for _ in range(40)), prose(chance, 900), "q" * 5000]
 
 
 def documents(spark, texts, ids=None):
@@ -93,12 +94,30 @@ def test_alignment_equals_brute_force(spark, texts, docs, chunk_bytes):
 
 
 def test_pair_counts_equal_brute_force(spark, texts):
-    _, postings = alignment.aligned_chunks(documents(spark, texts).repartition(2), A, B, docs=10)
+    chunks = alignment.aligned_chunks(documents(spark, texts).repartition(2), A, B, docs=10)
     _, links, docs = aligned_by_hand(enumerate(texts))
-    found = {(r["a"], r["b"]): (r["docs"], r["links"]) for r in alignment.pair_counts(postings).collect()}
+    found = {(r["a"], r["b"]): (r["docs"], r["links"]) for r in alignment.pair_counts(chunks).collect()}
     assert found == {p: (docs[p], links[p]) for p in links}
 
 
+def test_ids_by_ranks_equal_the_library():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        words = alignment.Vocabularies(a.read(), b.read())
+    assert words.ranks is not None
+    points = [c for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    some = [f" a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}2 .{chr(c)}! {chr(c)} \n" for c in points[:: 7]]
+    chance = random.Random(2)
+    some += ["".join(chance.choice("abcdeéß漢 \n'!.019AB") for _ in range(chance.randint(1, 900))) for _ in range(300)]
+    some += ["z" * 20_000, " " * 3000, "<|endoftext|>"]
+    assert words.encode_a(some) == [e.ids for e in library.encode_batch_fast(some, add_special_tokens=False)]
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as other:
+        assert alignment.rank_encoder(json.load(other)) is None
+
+
 def test_alignment_of_no_rows_and_repeated_rows(spark):
     assert alignment.alignment_scores(documents(spark, []), A, B).count() == 0
     rows = alignment.alignment_scores(documents(spark, ["same text"] * 3, [1, 1, 1]), A, B).collect()
