@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from locusframe.functions import intervals as iv
 from locusframe.functions.intervals import Interval
-from locusframe.operators import index, placement, regions
+from locusframe.functions import sqlfunctions
+from locusframe.operators import index, placement, regions, sqltask
 from locusframe.operators.overlap import overlap_filter
 from locusframe.plans import inputs
 from locusframe.plans.registry import query
@@ -53,6 +54,16 @@ def region_assign_padded(spark: SparkSession, sf: str) -> DataFrame:
     return assigned.select(*POSITION_COLUMNS, "part_id", "region_key")
 
 
+@query("sql_region_lookup", assigned_sql(inputs.PAD) + ASSIGN_SELECT)
+def sql_region_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions looked up by a statement, in a layout that a parameter names."""
+    named = {"windows": inputs.windows(spark, inputs.PAD), "chromosomes": layouts.preset(spark, "grch38part23")}
+    sqlfunctions.register_layouts(spark, named)
+    script = """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, contig, pos, part_id, region_key
+                FROM lookup_positions p, LATERAL regions_near(:layout, p.contig, p.pos) r WHERE p.pos BETWEEN r.low AND r.high"""
+    return sqltask.sql_task(spark, script, {"lookup_positions": inputs.positions(spark, sf)}, {"layout": "windows"})
+
+
 @query(
     "region_part_count",
     assigned_sql(0) + """

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusframe.functions import genetics
-from locusframe.operators import regions, sinks, variants
+from locusframe.functions import genetics, sqlfunctions
+from locusframe.operators import regions, sinks, sqltask, variants
 from locusframe.plans import inputs
 from locusframe.plans.registry import query
 from locusframe.session import shared_path
@@ -177,9 +177,7 @@ def hwe_counts(spark: SparkSession, sf: str) -> DataFrame:
     return counted.select("id", "n.*")
 
 
-@query(
-    "hwe_test",
-    f"""WITH {inputs.COHORT_SQL},
+HWE_SQL = f"""WITH {inputs.COHORT_SQL},
 sizes AS (
   SELECT *, hom_ref + het + hom_alt AS n, 2 * least(hom_ref, hom_alt) + het AS m FROM counts),
 outcomes AS (
@@ -193,10 +191,10 @@ tails AS (
   SELECT id, n, m, lp, max(lp) FILTER (h = het) OVER (PARTITION BY id) AS seen FROM logs)
 SELECT id, round(m * (2 * n - m) / (2.0 * n - 1.0) / n, 6) AS het_freq,
        round(least(1.0, sum(exp(lp)) FILTER (lp <= seen + 1e-9)), 6) AS p_value
-FROM tails GROUP BY id, n, m""",
-)
-def hwe_test(spark: SparkSession, sf: str) -> DataFrame:
-    tested = inputs.cohort(spark, sf).select("id", genetics.hardy_weinberg(F.col("genotypes")).alias("hwe"))
+FROM tails GROUP BY id, n, m"""
+
+
+def _rounded(tested: DataFrame) -> DataFrame:
     return tested.select(
         "id",
         F.round("hwe.hetFreqHwe", 6).alias("het_freq"),
@@ -204,6 +202,20 @@ def hwe_test(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("hwe_test", HWE_SQL)
+def hwe_test(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(genetics.add_hardy_weinberg(inputs.cohort(spark, sf)))
+
+
+@query("sql_hardy_weinberg", HWE_SQL)
+def sql_hardy_weinberg(spark: SparkSession, sf: str) -> DataFrame:
+    """The test called by name from a script's statement, over a column that a parameter names."""
+    cohort = inputs.cohort(spark, sf)
+    sqlfunctions.register_genetics(spark, cohort.schema["genotypes"].dataType)
+    script = "SELECT id, hardy_weinberg(IDENTIFIER(:col)) AS hwe FROM cohort"
+    return _rounded(sqltask.sql_task(spark, script, {"cohort": cohort}, {"col": "genotypes"}))
+
+
 def _region_files_sql(lines: str, header: int) -> str:
     """Lines per region of the 23-partition layout, whose last region has no rows."""
     return f"""{lines},

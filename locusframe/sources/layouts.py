@@ -6,7 +6,7 @@ size is known before it takes part in a join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -221,25 +221,26 @@ def preset(spark: SparkSession, name: str) -> Layout:
     the names (the short-tail limits see to that); cut points are even cuts, not the hand-placed ones in assembly gaps, which can be
     loaded with :func:`read_layout`. ``hg19part77`` means the 23-partition layout.
     """
-    hg19_main = {c: n for c, n in HG19_LENGTHS.items() if c != "chrM"}
-    chr20 = {"chr20": HG19_LENGTHS["chr20"]}
-    makers = {
-        "hg19part1": lambda: single(spark, HG19_LENGTHS),
-        "hg19part23": lambda: chromosomes(spark, HG19_LENGTHS),
-        "hg19part77": lambda: chromosomes(spark, HG19_LENGTHS),
-        "hg19part155": lambda: even(spark, HG19_LENGTHS, 155, 1000),
-        "hg19part3109": lambda: fixed(spark, hg19_main, 1_000_000, 1000, (), 100_000),
-        "hg19part3109unpadded": lambda: fixed(spark, hg19_main, 1_000_000, 0, (), 100_000),
-        "hg19chr20part45": lambda: even(spark, chr20, 45, 0),
-        "grch38part1": lambda: single(spark, GRCH38_LENGTHS),
-        "grch38part23": lambda: chromosomes(spark, GRCH38_LENGTHS),
-        "grch38part50": lambda: even(spark, GRCH38_LENGTHS, 50, 0),
-        "grch38part155": lambda: even(spark, GRCH38_LENGTHS, 155, 1000),
-        "grch38part3101": lambda: fixed(spark, GRCH38_LENGTHS, 1_000_000, 1000, ("chrM",), 41_000),
-    }
-    if name.lower() not in makers:
-        raise ValueError(f"unknown layout {name!r}; known: {', '.join(makers)}")
-    return makers[name.lower()]()
+    if name.lower() not in PRESETS:
+        raise ValueError(f"unknown layout {name!r}; known: {', '.join(PRESETS)}")
+    return PRESETS[name.lower()](spark)
+
+
+_HG19_MAIN = {c: n for c, n in HG19_LENGTHS.items() if c != "chrM"}
+PRESETS: dict[str, Callable[[SparkSession], Layout]] = {
+    "hg19part1": lambda spark: single(spark, HG19_LENGTHS),
+    "hg19part23": lambda spark: chromosomes(spark, HG19_LENGTHS),
+    "hg19part77": lambda spark: chromosomes(spark, HG19_LENGTHS),
+    "hg19part155": lambda spark: even(spark, HG19_LENGTHS, 155, 1000),
+    "hg19part3109": lambda spark: fixed(spark, _HG19_MAIN, 1_000_000, 1000, (), 100_000),
+    "hg19part3109unpadded": lambda spark: fixed(spark, _HG19_MAIN, 1_000_000, 0, (), 100_000),
+    "hg19chr20part45": lambda spark: even(spark, {"chr20": HG19_LENGTHS["chr20"]}, 45, 0),
+    "grch38part1": lambda spark: single(spark, GRCH38_LENGTHS),
+    "grch38part23": lambda spark: chromosomes(spark, GRCH38_LENGTHS),
+    "grch38part50": lambda spark: even(spark, GRCH38_LENGTHS, 50, 0),
+    "grch38part155": lambda spark: even(spark, GRCH38_LENGTHS, 155, 1000),
+    "grch38part3101": lambda spark: fixed(spark, GRCH38_LENGTHS, 1_000_000, 1000, ("chrM",), 41_000),
+}
 
 
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
