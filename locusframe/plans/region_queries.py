@@ -9,7 +9,7 @@ from locusframe.functions import intervals as iv
 from locusframe.functions.intervals import Interval
 from locusframe.functions import sqlfunctions
 from locusframe.operators import index, placement, regions, sqltask
-from locusframe.operators.overlap import overlap_filter
+from locusframe.operators.overlap import overlap_filter, sweep_filter
 from locusframe.plans import inputs
 from locusframe.plans.registry import query
 from locusframe.sources import layouts
@@ -328,20 +328,29 @@ def interval_span(spark: SparkSession, sf: str) -> DataFrame:
     return both.filter(F.col("both").isNotNull()).select("id", "both.*")
 
 
-@query(
-    "variant_overlap_filter",
-    f"""WITH {inputs.INTERVALS_SQL},
+OVERLAP_SQL = f"""WITH {inputs.INTERVALS_SQL},
 targets AS (
   SELECT p_partkey % 22 + 1 AS c, (p_partkey * 102953) % {inputs.CONTIG_LENGTH} + 1 AS s,
          (p_partkey * 102953) % {inputs.CONTIG_LENGTH} + 1 + p_size * 200 AS e FROM part)
 SELECT id, contig, s AS "start", s + id % 400 AS "end" FROM ivs v
-WHERE EXISTS (SELECT 1 FROM targets t WHERE t.c = v.c AND v.s <= t.e AND v.s + v.id % 400 >= t.s)""",
-)
-def variant_overlap_filter(spark: SparkSession, sf: str) -> DataFrame:
+WHERE EXISTS (SELECT 1 FROM targets t WHERE t.c = v.c AND v.s <= t.e AND v.s + v.id % 400 >= t.s)"""
+
+
+def _variants_and_targets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     targets = inputs.table(spark, sf, "part").selectExpr(
         "concat('chr', p_partkey % 22 + 1) AS contig",
         f"(p_partkey * 102953) % {inputs.CONTIG_LENGTH} + 1 AS start",
         f"(p_partkey * 102953) % {inputs.CONTIG_LENGTH} + 1 + p_size * 200 AS end",
     )
-    variants = inputs.intervals(spark, sf).selectExpr("id", "contig", "start", "start + id % 400 AS end")
-    return overlap_filter(variants, targets)
+    return inputs.intervals(spark, sf).selectExpr("id", "contig", "start", "start + id % 400 AS end"), targets
+
+
+@query("variant_overlap_filter", OVERLAP_SQL)
+def variant_overlap_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return overlap_filter(*_variants_and_targets(spark, sf))
+
+
+@query("variant_overlap_sweep", OVERLAP_SQL)
+def variant_overlap_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows by the sweep, as for interval sets that no broadcast can hold, in many small ranges."""
+    return sweep_filter(*_variants_and_targets(spark, sf), intervals_per_range=50, rows_per_task=5_000)

@@ -5,8 +5,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from locusframe.operators import index, joins, sinks, sqltask
+from locusframe.operators import index, joins, lookup, sinks, sqltask
 from locusframe.plans import inputs
 from locusframe.plans.registry import query
 from locusframe.session import shared_path
@@ -94,6 +95,19 @@ def matrix_join(spark: SparkSession, sf: str) -> DataFrame:
     return joins.matrix_join(matrix, features, barcodes)
 
 
+@query(
+    "heavy_key_join",
+    """SELECT l_orderkey, l_linenumber, l_quantity, p_name, p_brand
+FROM lineitem JOIN part ON p_partkey = CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_partkey END""",
+)
+def heavy_key_join(spark: SparkSession, sf: str) -> DataFrame:
+    """A shuffled lookup in which one key holds a third of all rows."""
+    key = F.when(F.col("l_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("l_partkey")).alias("key")
+    rows = inputs.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", key)
+    parts = inputs.table(spark, sf, "part").select("p_partkey", "p_name", "p_brand")
+    return lookup.lookup_join(rows, parts, on=[("key", "p_partkey")], max_broadcast_rows=0).drop("key")
+
+
 @query(
     "select_limit",
     "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey DESC LIMIT 100",

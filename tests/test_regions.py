@@ -135,6 +135,23 @@ def test_salted_lookup_equals_broadcast(spark, how):
     assert results[0] == results[1] and results[0]
 
 
+def test_only_heavy_keys_are_repeated(spark):
+    from locusframe.operators import lookup
+
+    keys = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("long").alias("k"))
+    assert lookup.heavy_keys(keys) == [(7, 64)]
+    assert lookup.heavy_keys(keys.limit(0)) == [] and lookup.heavy_keys(spark.range(5000)) == []
+    table = spark.range(60_000).select(F.col("id").cast("int").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
+    joined = lookup_join(keys, table, [("k", "key")], max_broadcast_rows=10)
+    assert joined.count() == 60_000 and joined.filter("name != concat('n', k)").isEmpty()
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode") == 1
+    assert not lookup.fits_broadcast(table, 100_000, 1000) and lookup.fits_broadcast(table, 100_000) and not lookup.fits_broadcast(table, 10)
+    nulls = spark.createDataFrame([(None, 1), (None, 2), (3, 3)], "k int, v int")
+    kept = lookup_join(nulls, table, [("k", "key")], "left", max_broadcast_rows=10)
+    assert sorted((r.v, r.name) for r in kept.collect()) == [(1, None), (2, None), (3, "n3")]
+
+
 def test_assignment_plan_does_not_shuffle_the_input(spark, capsys):
     df = spark.range(10).select(F.lit("chr1").alias("contig"), (F.col("id") + 1).alias("pos"))
     regions.assign_regions(df, layouts.fixed(spark, LENGTHS, 100)).explain()

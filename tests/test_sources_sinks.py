@@ -1,6 +1,7 @@
 """Text sources, files, collectors, commands, tables and SQL tasks."""
 
 import gzip
+import random
 import uuid
 
 import pytest
@@ -36,6 +37,41 @@ def test_fastq_with_at_signs_in_qualities(spark, tmp_path):
     assert got == {**want, "z": ("A", "@", 0)} and len(rows) == 1001
 
 
+@pytest.mark.parametrize("block", [60, 333])
+def test_fastq_blocks_smaller_than_records(spark, tmp_path, block, capsys):
+    chance = random.Random(block)
+    sizes = [chance.choice([0, 1, 3, 30, 200]) for _ in range(20)]
+    for name, first, end in (("a.fq", 0, "\n\n\n\n\n"), ("b.fq", 20, ""), ("c.fq", 40, "\n")):
+        records = "".join(f"@r{first + i}\n{'A' * n}\n+\n{'@' * n}\n" for i, n in enumerate(sizes))
+        (tmp_path / name).write_text(records + end)
+    (tmp_path / "d.fq").write_text("\n" * 9)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        read = fastq.read_fastq(spark, str(tmp_path))
+        rows = read.collect()
+        read.explain()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = sorted((f"r{20 * f + i}", "A" * n, "@" * n, i) for f in range(3) for i, n in enumerate(sizes))
+    assert sorted((r.id, r.seq, r.qual, r.read_no) for r in rows) == want
+    assert {r.source_file.rsplit("/", 1)[1] for r in rows} == {"a.fq", "b.fq", "c.fq"}
+    assert "MapInArrow" in capsys.readouterr().out
+
+
+def test_fastq_split_otherwise_in_the_second_pass_fails(spark, tmp_path):
+    (tmp_path / "a.fq").write_text("@r\nACGT\n+\nIIII\n" * 500)
+    read = fastq.read_fastq(spark, str(tmp_path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        with pytest.raises(Exception, match="split otherwise"):
+            read.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert read.count() == 500
+
+
 def test_positional_schema():
     schema = text.positional_schema({"2:POS": 0, "1:CHROM": "String", "3:Q": 1.5, "4:OK": True, "5:BIG": 2**40})
     kinds = [T.StringType(), T.IntegerType(), T.DoubleType(), T.BooleanType(), T.LongType()]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from locusframe.functions import genetics
 from locusframe.functions import intervals as iv
 from locusframe.functions.intervals import Interval
-from locusframe.operators.overlap import overlap_filter
+from locusframe.operators.overlap import overlap_filter, sweep_filter
 
 
 def exact_p(ref, het, alt):
@@ -87,3 +87,30 @@ def test_overlap_filter_matches_brute_force(spark, width, limit):
     want = [i for i, c, s, e in rows if any(c.removeprefix("chr") == tc and s <= te and ts <= e for tc, ts, te in plain)]
     assert got == want
     assert overlap_filter(df, ivs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("per_range", "per_task"), [(3, 20), (1_000_000, 1_000_000), (1, 1)])
+def test_sweep_matches_brute_force(spark, per_range, per_task):
+    rng = random.Random(per_range)
+    rows = [(i, rng.choice(["chr1", "2", "chr3"]), s, s + rng.choice([0, 1, 50, 700])) for i, s in enumerate(rng.randint(1, 3000) for _ in range(300))]
+    rows += [(300 + i, "chr1", 1200, 1300) for i in range(100)] + [(400, None, 1, 2), (401, "1", None, 5), (402, "1", 5, None)]
+    targets = [(rng.choice(["1", "chr2"]), s, s + rng.choice([0, 3, 400])) for s in (rng.randint(1, 2500) for _ in range(40))]
+    df = spark.createDataFrame(rows, "id int, contig string, start long, end long").withColumn("range", F.lit("mine"))
+    ivs = spark.createDataFrame([*targets, targets[0]], "contig string, start long, end long")
+    found = sweep_filter(df, ivs, intervals_per_range=per_range, rows_per_task=per_task)
+    assert found.columns == df.columns
+    plain = [(c.removeprefix("chr"), s, e) for c, s, e in targets]
+    want = [i for i, c, s, e in rows if c and s and e and any(c.removeprefix("chr") == tc and s <= te and ts <= e for tc, ts, te in plain)]
+    assert sorted(r.id for r in found.collect()) == want
+    assert sweep_filter(df, ivs.limit(0)).count() == 0
+
+
+def test_sparse_contigs_make_no_bins_beyond_their_own(spark, capsys):
+    contigs = [(f"c{i}", 1000 + 90_000_000 * (i % 2), 2000 + 90_000_000 * (i % 2)) for i in range(2580)]
+    ivs = spark.createDataFrame(contigs, "contig string, start long, end long")
+    df = spark.createDataFrame([(0, "c7", 90_001_500, 180_000_000), (1, "c7", 5, 10), (2, "c8", 1999, 2500), (3, "zz", 1500, 1600)], "id int, contig string, start long, end long")
+    # One interval and one carry for each contig fit this limit.
+    found = overlap_filter(df, ivs, max_broadcast_rows=3 * 2580)
+    assert sorted(r.id for r in found.collect()) == [0, 2]
+    found.explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
