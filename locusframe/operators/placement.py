@@ -70,10 +70,13 @@ def place_in_order(
     return with_pieces(df, rank, pos, cell_width, 1).repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def partition_lines(df: DataFrame, layout: Layout, row: str = "row") -> DataFrame:
-    """Variant lines to regions by their first two fields; gives (row, part_id, piece)."""
+def partition_lines(df: DataFrame, layout: Layout, row: str = "row", cell_width: int = CELL_WIDTH, spread: int = SPREAD) -> DataFrame:
+    """Variant lines to regions by their first two fields; gives (row, part_id, piece).
+
+    Here and below, ``cell_width`` and ``spread`` are those of :func:`with_pieces`: smaller cells make more and smaller tasks.
+    """
     assigned = regions.assign_lines(df.select(row), layout, row)
-    return place(assigned).select(row, "part_id", "piece")
+    return place(assigned, cell_width=cell_width, spread=spread).select(row, "part_id", "piece")
 
 
 def partition_alignments(
@@ -81,13 +84,15 @@ def partition_alignments(
     layout: Layout,
     contig: str = "referenceName",
     pos: str = "alignmentStart",
+    cell_width: int = CELL_WIDTH,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Alignments to regions by their start; every input column is kept, ``part_id`` and ``piece`` are added."""
     assigned = regions.assign_regions(df, layout, contig, pos)
-    return place(assigned, pos=pos).drop("region_key", "contig_rank")
+    return place(assigned, pos=pos, cell_width=cell_width, spread=spread).drop("region_key", "contig_rank")
 
 
-def partition_bed(df: DataFrame, layout: Layout, row: str = "row") -> DataFrame:
+def partition_bed(df: DataFrame, layout: Layout, row: str = "row", cell_width: int = CELL_WIDTH, spread: int = SPREAD) -> DataFrame:
     """BED lines to the regions of their two end points; gives (row, part_id, piece)."""
     parsed = df.select(
         row,
@@ -96,7 +101,7 @@ def partition_bed(df: DataFrame, layout: Layout, row: str = "row") -> DataFrame:
         lines.int_field(F.col(row), 2).alias("end"),
     )
     assigned = with_rank(regions.assign_endpoints(parsed, layout), layout, "contig")
-    return place(assigned, pos="start").select(row, "part_id", "piece")
+    return place(assigned, pos="start", cell_width=cell_width, spread=spread).select(row, "part_id", "piece")
 
 
 def partition_pairs(
@@ -106,13 +111,15 @@ def partition_pairs(
     pos: str = "alignmentStart",
     mate_contig: str = "mateReferenceName",
     mate_pos: str = "mateAlignmentStart",
+    cell_width: int = CELL_WIDTH,
+    spread: int = SPREAD,
 ) -> DataFrame:
     """Read pairs to every region either mate falls in, sorted by the read's own position."""
     assigned = regions.assign_pairs(
         df, layout, contig=contig, pos=pos, mate_contig=mate_contig, mate_pos=mate_pos
     )
     ranked = with_rank(assigned, layout, contig)
-    return place(ranked, pos=pos).drop("region_key", "contig_rank")
+    return place(ranked, pos=pos, cell_width=cell_width, spread=spread).drop("region_key", "contig_rank")
 
 
 def with_rank(df: DataFrame, layout: Layout, contig: str) -> DataFrame:

@@ -12,6 +12,7 @@ from locusframe.operators import index, placement, regions, sqltask
 from locusframe.operators.overlap import overlap_filter, sweep_filter
 from locusframe.plans import inputs
 from locusframe.plans.registry import query
+from locusframe.session import shared_path
 from locusframe.sources import layouts
 
 POSITION_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "contig", "pos"]
@@ -54,6 +55,19 @@ def region_assign_padded(spark: SparkSession, sf: str) -> DataFrame:
     return assigned.select(*POSITION_COLUMNS, "part_id", "region_key")
 
 
+@query("region_file_assign", assigned_sql(inputs.PAD) + ASSIGN_SELECT)
+def region_file_assign(spark: SparkSession, sf: str) -> DataFrame:
+    """A layout read back from a region file and a sequence dictionary."""
+    made = inputs.windows(spark, inputs.PAD).regions
+    path, dictionary = shared_path(spark, "region-file"), shared_path(spark, "dictionary")
+    made.select(F.concat_ws("\t", "contig", "start", "end", "part_id", "pad").alias("value")).write.text(path)
+    names = made.groupBy("contig_rank", "contig").agg(F.max("end").alias("length")).orderBy("contig_rank")
+    entry = F.concat(F.lit("@SQ\tSN:"), "contig", F.lit("\tLN:"), F.col("length").cast("string"))
+    names.select(entry.alias("value")).coalesce(1).write.text(dictionary)
+    layout = layouts.read_layout(spark, path, dictionary)
+    return regions.assign_regions(inputs.positions(spark, sf), layout).select(*POSITION_COLUMNS, "part_id", "region_key")
+
+
 @query("sql_region_lookup", assigned_sql(inputs.PAD) + ASSIGN_SELECT)
 def sql_region_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Regions looked up by a statement, in a layout that a parameter names."""
