@@ -8,19 +8,20 @@ sequence as one. Equal sets are one class and travel once.
    links; this one keeps what many documents share out of the prefixes.
 2. Prefix. Two sets linked at the threshold share an n-gram among the first ``size - ceil(t size) + 1`` of
    each. Those prefix n-grams are the join key; the documents' classes meet in the group of a shared one.
-3. Filters. A pair in a group counts if the sizes allow the threshold, if the positions leave enough
-   n-grams for the overlap needed, and if the n-grams before it differ: the pair is met at the first one of
-   a run of shared ones.
+3. Filters. A pair in a group counts if the sizes allow the threshold and if the positions leave enough
+   n-grams for the overlap needed.
 4. First round. A group's classes are put in order of size, and neighbours are verified: a line through the
    group, not all its pairs. Components of the links found follow.
 5. Second round. Groups that still hold several components are open. Classes that meet in open groups form
-   arenas; an arena's sets are sent once, or for a large arena once per part, to cells of bounded size.
-   A cell meets pairs of different components by their prefix n-grams, with the filters of step 3, and
-   verifies each once; pairs that meanwhile became one component are skipped, and only links leave the cell.
-   After it every linked pair has been verified, or lies in one component already.
-
-Verification first counts both sets by ranges of hashes; the differences of these counts bound what the sets
-do not share (the suffix filter). Then it compares whole sets. Results are one row per input row: ``n_shingles`` and ``component_id``, the
+   arenas. An arena's classes are sent once, or for a large arena once per part, to cells of bounded mean size, each with its
+   n-grams of open groups and a count of its n-grams by ranges of hashes, not with its set.
+   A cell meets pairs of different components by these n-grams, with the filters of step 3 and the suffix filter: the
+   differences of the counts bound what two sets do not share.
+6. Verification. Only sets of the pairs left are fetched and compared whole. A class has a bounded number of
+   candidates in a round; while a cell had more, a round with four times as many follows, in which pairs that became one
+   component meanwhile are skipped. After the last round every linked pair has been verified, or lies in one component.
+
+Results are one row per input row: ``n_shingles`` and ``component_id``, the
 smallest id reachable by links. Nulls, empty texts and texts without words have no n-gram, are linked with
 nothing, and have their own id. Equal rows of one id share a component; null ids count as larger than all
 others. An empty table gives an empty result. Of the input only id and text are read, whatever other columns
@@ -40,8 +41,16 @@ from locusframe.llm.common import column, stored
 from locusframe.llm.components import components
 
 COUNTERS = 1 << 20
-#: Bytes of sets in one part of an arena; a cell holds two parts at most.
-CELL_BYTES = 24_000_000
+#: Bits that name the rows whose sets are needed; 2 MB.
+MARKS = 1 << 24
+#: Ranges of hashes by which sets are compared before they are fetched.
+RANGES = 256
+#: Candidates of a class that are verified in the first round; each further round takes four times as many.
+FIRST_CANDIDATES = 32
+#: Pairs whose ends are broadcast, 16 bytes each, to pick their sets.
+BROADCAST_PAIRS = 500_000
+#: Bytes of classes in one part of an arena; a cell holds two parts at most.
+CELL_BYTES = 1_500_000
 _CHUNKS = 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SPACE = np.zeros(256, bool)
@@ -177,18 +186,36 @@ def prefixes(documents: DataFrame, n: int, percent: int, counts) -> DataFrame:
     return documents.mapInPandas(run, f"_id {id_type}, n long, cid long, prefix array<long>")
 
 
+def id_marks(ids: DataFrame) -> dict[int, bytes]:
+    """Bits of the hashes of the ids ``_id``, by block of 32,768: a table of fixed size, whatever the number of ids."""
+    place = F.pmod(F.xxhash64("_id"), F.lit(MARKS)) + 1
+    blocks = ids.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("bit"))
+    return {r["block"]: bytes(r["bits"]) for r in blocks.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()}
+
+
 def class_sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(cid, grams) of the classes of which ``wanted`` names one row's id."""
+    """(cid, grams, spread) of the classes of which ``wanted`` names one row's id; a class may come twice, and others come along.
+
+    Texts are not shuffled: each task knows the wanted ids by bits of their hashes, which let some others pass.
+    """
+    marks = documents.sparkSession.sparkContext.broadcast(id_marks(wanted))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
+        bits = np.zeros(MARKS // 8, np.uint8)
+        for block, some in marks.value.items():
+            bits[(block - 1) * 4096 : block * 4096] = np.frombuffer(some, np.uint8)
         for frame in frames:
-            sets = shingler.sets(frame["_text"].tolist())
-            yield pd.DataFrame({"cid": [class_of(s) for s in sets], "grams": [s.tobytes() for s in sets]})
+            place = frame["place"].to_numpy()
+            texts = frame["_text"].to_numpy()[(bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
+            for i in range(0, len(texts), 2000):
+                sets = [s for s in shingler.sets(texts[i : i + 2000].tolist()) if len(s)]
+                columns = {"cid": [class_of(s) for s in sets], "grams": [s.tobytes() for s in sets], "spread": [spread_of(s) for s in sets]}
+                yield pd.DataFrame(columns)
 
-    picked = wanted.select(F.col("_id").alias("_wanted")).distinct()
-    rows = documents.join(picked, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi").select("_text")
-    return rows.mapInPandas(run, "cid long, grams binary")
+    # Places and bits as ``bitmap_bit_position`` counts them.
+    place = F.pmod(F.xxhash64("_id"), F.lit(MARKS)).alias("place")
+    return documents.select("_text", place).mapInPandas(run, "cid long, grams binary, spread binary")
 
 
 def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -225,65 +252,70 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(reaches(x, y, percent))
         return pd.Series(out, dtype=bool)
 
+    if pairs.count() <= BROADCAST_PAIRS:
+        ends = pairs.select(F.col("a").alias("end")).union(pairs.select("b")).distinct()
+        sets = sets.join(F.broadcast(ends), F.col("cid") == F.col("end"), "left_semi")
+    sets = sets.dropDuplicates(["cid"])
     one = sets.select(F.col("cid").alias("a"), F.col("grams").alias("left"))
     two = sets.select(F.col("cid").alias("b"), F.col("grams").alias("right"))
     return pairs.join(one, "a").join(two, "b").filter(linked("left", "right")).select("a", "b").distinct()
 
 
-def _cell_links(percent: int, counts):
-    """Verified links between different components of the classes of one cell (parts ``i`` and ``j`` of an arena)."""
+def spread_of(grams: np.ndarray) -> bytes:
+    """How many n-grams of a sorted set lie in each of ``RANGES`` ranges of hashes, 255 at most."""
+    counts = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def _cell_candidates(percent: int, most: int):
+    """Pairs of classes of one cell (parts ``i`` and ``j`` of an arena) that no filter rules out, ``most`` for each class.
+
+    A row with ``more`` set says that a class had more of them.
+    """
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("cid", kind="stable")
+        # By size, so that the partners a class may have by size are one run before it.
+        frame = frame.sort_values(["n", "cid"], kind="stable")
         across = frame["i"].iloc[0] != frame["j"].iloc[0]
-        table, part = counts.value, frame["part"].to_numpy()
-        sets = [np.frombuffer(g, np.uint64) for g in frame["grams"]]
-        size = np.array([len(s) for s in sets])
-        kept = size - -(-percent * size // 100) + 1
-        ranges = np.r_[(np.arange(16, dtype=np.uint64) << np.uint64(60)), np.uint64(2**64 - 1)]
-        spread = np.array([np.diff(np.searchsorted(s, ranges)) for s in sets])
-        first = [rarest(s, table, k) for s, k in zip(sets, kept.tolist(), strict=True)]
-        parent = {c: c for c in frame["component"]}
-
-        def root(c):
-            while parent[c] != c:
-                parent[c] = parent[parent[c]]
-                c = parent[c]
-            return c
-
-        component, names = frame["component"].tolist(), frame["cid"].tolist()
-        met: dict[int, list[tuple[int, int]]] = {}
+        names, component, part = (frame[c].to_numpy() for c in ("cid", "component", "part"))
+        size = frame["n"].to_numpy()
+        spread = np.frombuffer(b"".join(frame["spread"]), np.uint8).reshape(-1, RANGES).astype(np.int16)
+        counts = frame["hs"].map(len).to_numpy()
+        first = np.r_[0, np.cumsum(counts)]
+        h, pos = np.concatenate(frame["hs"].to_list()), np.concatenate(frame["ps"].to_list()).astype(np.int64)
+        row = np.repeat(np.arange(len(frame)), counts)
+        order = np.lexsort((row, h))
+        h, of_group, at_group = h[order], row[order], pos[order]
+        begin = np.searchsorted(h, h)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        least = np.searchsorted(size, -(-percent * size // 100))
         out = []
-        for x, grams in enumerate(first):
-            left = {}
-            n = int(size[x])
-            for pos, h in enumerate(grams.tolist()):
-                for y, at in met.get(h, ()):
-                    # The first shared n-gram decides by position; later ones cannot allow more.
-                    if y not in left:
-                        m = int(size[y])
-                        left[y] = (
-                            (not across or part[x] != part[y])
-                            and 100 * min(n, m) >= percent * max(n, m)
-                            and (100 + percent) * min(n - pos, m - at) >= percent * (n + m)
-                        )
-            mine = root(component[x])
-            for y, fits in left.items():
-                if not fits:
-                    continue
-                other = root(component[y])
-                if other == mine:
-                    continue
-                m = int(size[y])
-                apart = int(np.abs(spread[x] - spread[y]).sum())
-                if (100 + percent) * apart > (100 - percent) * (n + m):
-                    continue
-                if reaches(sets[x], sets[y], percent):
-                    out.append((min(names[x], names[y]), max(names[x], names[y])))
-                    parent[other] = mine
-            for pos, h in enumerate(grams.tolist()):
-                met.setdefault(h, []).append((x, pos))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+        for x in range(len(frame)):
+            n = size[x]
+            runs = []
+            for e in range(first[x], first[x + 1]):
+                stop = place[e]
+                start = begin[stop]
+                start += np.searchsorted(of_group[start:stop], least[x])
+                if start < stop:
+                    runs.append((start, stop, pos[e]))
+            if not runs:
+                continue
+            y = np.concatenate([of_group[a:b] for a, b, _ in runs])
+            at = np.concatenate([at_group[a:b] for a, b, _ in runs])
+            mine = np.repeat([p for _, _, p in runs], [b - a for a, b, _ in runs])
+            fits = (component[y] != component[x]) & ((100 + percent) * np.minimum(n - mine, size[y] - at) >= percent * (n + size[y]))
+            if across:
+                fits &= part[y] != part[x]
+            y = np.unique(y[fits])
+            # Sets at the threshold differ in at most (nx + ny) (1 - t) / (1 + t) n-grams.
+            apart = np.abs(spread[y] - spread[x]).sum(1, dtype=np.int64)
+            y = y[(100 + percent) * apart <= (100 - percent) * (n + size[y])]
+            out += [(min(names[x], names[k]), max(names[x], names[k]), False) for k in y[:most].tolist()]
+            if len(y) > most:
+                out.append((names[x], names[x], True))
+        return pd.DataFrame(out, columns=["a", "b", "more"]).astype({"a": "int64", "b": "int64", "more": bool})
 
     return run
 
@@ -301,11 +333,7 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
     context = documents.sparkSession.sparkContext
     counts = context.broadcast(gram_counts(documents.select("_text"), n))
     rows = stored(prefixes(documents, n, percent, counts), "prefixes")
-    grams = rows.filter(F.size("prefix") > 0).select(
-        "cid",
-        "n",
-        F.posexplode(F.arrays_zip(F.col("prefix").alias("h"), F.slice(F.array_prepend("prefix", F.lit(0)), 1, F.size("prefix")).alias("before"))).alias("pos", "g"),
-    ).select("cid", "n", "pos", "g.h", "g.before")
+    grams = rows.filter(F.size("prefix") > 0).select("cid", "n", F.posexplode("prefix").alias("pos", "h"))
     order = Window.partitionBy("h").orderBy("n", "cid")
     near = {}
     for name, step in (("down", F.lag), ("up", F.lead)):
@@ -316,36 +344,47 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
     ]
     same = [f"coalesce({s}.cid = cid, false)" for s in near]
     # Copies of a class from several tasks stand next to each other; a row between two of them is kept, too.
-    live = stored(lined.filter(" OR ".join(together + same)).select("h", "cid", "n", "pos", "before", "down"), "shared-grams")
+    live = stored(lined.filter(" OR ".join(together + same)).select("h", "cid", "n", "pos", "down"), "shared-grams")
     line = live.filter(together[0]).selectExpr(
         "down.cid x", "down.n x_n", "down.pos x_pos", "cid y", "n y_n", "pos y_pos"
     )
     pairs = line.filter(_fits(percent)).selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
     groups = live.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low != high").select("h")
-    live = live.join(groups, "h", "left_semi").select("h", "cid", "n", "pos", "before").distinct()
+    live = live.select("h", "cid", "n", "pos").distinct().join(groups, "h", "left_semi")
     ids = rows.filter("n > 0").groupBy("cid").agg(F.min("_id").alias("_id"))
     wanted = live.select("cid").distinct().join(ids, "cid")
     sets = stored(class_sets(documents, wanted, n), "sets")
-    first = stored(verified(pairs, sets, percent), "links")
-    of_first = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = live.select("h", "cid").distinct()
-    named = named.join(of_first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    links = stored(verified(stored(pairs, "pairs"), sets, percent), "links")
+    component = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    named = live.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     spans = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("v"))
     open_ = stored(named.join(spans.filter("low != high").select("h", "v"), "h"), "open-grams")
     # Classes that meet in open groups, directly or over others, are one arena.
     arena = components(open_.select(F.col("cid").alias("u"), "v")).select(F.col("node").alias("cid"), F.col("component").alias("arena"))
-    ranked = arena.join(sets, "cid").join(open_.select("cid", "component").distinct(), "cid")
-    ranked = stored(ranked.dropDuplicates(["cid"]), "arenas")
-    sizes = ranked.groupBy("arena").agg(F.sum(F.octet_length("grams")).alias("bytes"))
-    parts = sizes.select(F.col("arena").alias("of"), F.ceil(F.col("bytes") / F.lit(CELL_BYTES)).cast("int").alias("parts"))
-    cells = ranked.join(parts, F.col("arena") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select(
-        "arena", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid", "component", "grams"
-    )
-    found = cells.groupBy("arena", "i", "j").applyInPandas(_cell_links(percent, counts), "a long, b long")
-    links = first.union(stored(found.distinct(), "links"))
-    return rows, links, components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    lists = open_.groupBy("cid").agg(F.first("n").alias("n"), F.array_sort(F.collect_set(F.struct("pos", "h"))).alias("open"))
+    classes = lists.select("cid", "n", F.col("open.h").alias("hs"), F.col("open.pos").alias("ps"))
+    spreads = sets.select("cid", "spread").dropDuplicates(["cid"])
+    classes = stored(classes.join(spreads, "cid").join(arena, "cid"), "classes")
+    totals = stored(classes.groupBy("arena").agg(F.sum(F.size("hs") * 12 + RANGES).alias("bytes")), "arenas")
+    # Small arenas share cells; no n-gram of one is in another.
+    shared_cells = -(-(totals.agg(F.sum("bytes")).first()[0] or 0) // CELL_BYTES) + 1
+    parts = totals.select(F.col("arena").alias("of"), F.ceil(F.col("bytes") / F.lit(CELL_BYTES)).cast("int").alias("parts"))
+    parted = classes.join(parts, F.col("arena") == F.col("of")).withColumn("part", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
+    most = FIRST_CANDIDATES
+    while True:
+        named = parted.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+        cells = named.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        cell = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("arena"), F.lit(shared_cells))).otherwise(F.col("arena"))
+        cells = cells.select(
+            cell.alias("cell"), (F.col("parts") > 1).alias("many"), F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cid", "component", "n", "spread", "hs", "ps"
+        )
+        found = cells.groupBy("cell", "many", "i", "j").applyInPandas(_cell_candidates(percent, most), "a long, b long, more boolean")
+        found = stored(found.distinct(), "candidates")
+        links = stored(links.union(verified(found.filter("NOT more").select("a", "b"), sets, percent)).distinct(), "links")
+        component = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        if found.filter("more").isEmpty():
+            return rows, links, component
+        most *= 4
 
 
 def near_duplicates(
