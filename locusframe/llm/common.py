@@ -55,6 +55,11 @@ class Recent(dict):
         super().__init__()
         self.make, self.size, self.older = make, size, {}
 
+    def forget(self) -> None:
+        """Frees the memory; a worker that goes on with other work should not hold on to it."""
+        self.clear()
+        self.older = {}
+
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:

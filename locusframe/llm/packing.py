@@ -40,7 +40,6 @@ from locusframe.llm.common import Recent, stored
 from locusframe.llm.tokencount import byte_symbols
 
 END_ID = 1
-_BREAKS = str.maketrans("\n\t\r", "   ")
 _TOKENS = StructType([StructField("n_tokens", LongType()), StructField("crcs", ArrayType(LongType()))])
 
 
@@ -59,7 +58,8 @@ class Tokens:
         self.library = Tokenizer.from_str(vocabulary)
         self.model = self.library.model
         self.shown = {chr(b): "".join(byte_symbols()[x] for x in chr(b).encode()) for b in range(0x180)}
-        self.of_word = Recent(self._word, 600_000)
+        # At most some 60 MB together: a memo holds twice as many words at 150 bytes.
+        self.of_word = Recent(self._word, 200_000)
         self.of_other = Recent(self._whole, 50_000)
 
     def _whole(self, word: str) -> bytes:
@@ -80,6 +80,10 @@ class Tokens:
             return self.of_word[letters] + self.of_other[word[len(letters) :]]
         return self.of_other[word] if word else b""
 
+    def forget(self) -> None:
+        self.of_word.forget()
+        self.of_other.forget()
+
     def ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.of_word.__getitem__, words))
@@ -98,13 +102,16 @@ def document_pieces(documents: DataFrame, vocabulary_path: str, size: int, id_co
     @F.pandas_udf(_TOKENS)
     def tokens(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, end = _tokens(vocabulary.value), np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            counts, crcs = [], []
-            for text in batch:
-                data = encoder.ids(text or "") + end
-                counts.append(len(data) // 4)
-                crcs.append([zlib.crc32(data[i : i + 4 * size]) for i in range(0, len(data), 4 * size)])
-            yield pd.DataFrame({"n_tokens": counts, "crcs": crcs})
+        try:
+            for batch in batches:
+                counts, crcs = [], []
+                for text in batch:
+                    data = encoder.ids(text or "") + end
+                    counts.append(len(data) // 4)
+                    crcs.append([zlib.crc32(data[i : i + 4 * size]) for i in range(0, len(data), 4 * size)])
+                yield pd.DataFrame({"n_tokens": counts, "crcs": crcs})
+        finally:
+            encoder.forget()
 
     found = documents.select(F.col(id_column), tokens(F.coalesce(F.col(text), F.lit(""))).alias("t"))
     pieces = found.select(id_column, F.col("t.n_tokens").alias("n"), F.posexplode("t.crcs").alias("piece", "ids_crc32"))

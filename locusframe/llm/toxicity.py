@@ -37,6 +37,8 @@ from locusframe.llm.common import Recent, column, held_out, sigmoid, stored, unp
 
 #: Letters of the model: a boundary, a-z, and the letters from U+00DF to U+00FF.
 SYMBOLS = 60
+#: Characters whose trigrams are counted at a time.
+SLICE = 1 << 20
 _CODE = np.zeros(256, np.int64)
 _CODE[ord("a") : ord("z") + 1] = np.arange(1, 27)
 _CODE[0xDF:0x100] = np.arange(27, SYMBOLS)
@@ -143,12 +145,37 @@ class Restorer:
         return [w for hit in _SPACED.findall(text) for w in self.restore(" ".join(hit.split())).split() if len(w) > 1]
 
 
-def count_trigrams(texts) -> np.ndarray:
-    joined = " ".join(t for t in texts if t).lower()
-    codes = _CODE[np.frombuffer(f"  {joined}  ".encode("latin-1", "replace"), np.uint8)]
+def _trigrams_of(text: str) -> np.ndarray:
+    codes = _CODE[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)].astype(np.int32)
     return np.bincount((codes[:-2] * SYMBOLS + codes[1:-1]) * SYMBOLS + codes[2:], minlength=SYMBOLS**3)
 
 
+def count_trigrams(texts) -> np.ndarray:
+    """Trigrams of letter codes of texts, each with two blanks on both sides, counted in slices of bounded size."""
+    total = np.zeros(SYMBOLS**3, np.int64)
+    part, size = [], 0
+    for text in texts:
+        padded = f"  {text.lower()}  " if text else ""
+        if len(padded) > SLICE:
+            # Slices of a long text share two letters.
+            for at in range(0, len(padded) - 2, SLICE):
+                total += _trigrams_of(padded[at : at + SLICE + 2])
+        elif padded:
+            part.append(padded)
+            size += len(padded)
+        if size > SLICE:
+            total += _joined(part)
+            part, size = [], 0
+    return total + _joined(part) if part else total
+
+
+def _joined(part: list[str]) -> np.ndarray:
+    counts = _trigrams_of("".join(part))
+    # Four blanks meet between texts and make two trigrams of no text.
+    counts[0] -= 2 * (len(part) - 1)
+    return counts
+
+
 def language_model(documents: DataFrame, text: str = "text") -> np.ndarray:
     """Log probabilities of a letter after two others, from the trigrams of all documents.
 
