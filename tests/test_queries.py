@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
+TABLES = """region nation customer supplier part orders lineitem events documents embeddings pages
+    benchmark labels conversations""".split()
 
 
 @pytest.fixture(scope="module")
