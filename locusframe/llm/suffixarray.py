@@ -13,8 +13,8 @@ its prefix is met. Nothing is renamed and nothing recurses.
    anchor, so every string of ``length`` bytes holds one, at the same place wherever the string occurs.
    Only anchors whose gram occurs again matter. A context is an anchor with the bytes that strings of
    ``length`` bytes around it can reach; equal contexts are one, and all their strings occur again.
-2. Blocks. Contexts of one gram that differ from each other go to one block of bounded mean size. All
-   contexts of a gram are lined up at it; they are cut at the columns where neighbours in the order of the
+2. Blocks. Contexts of a gram that differ from each other are grouped by more of their bytes, as ``narrowed`` says, and each
+   group goes to one block of bounded mean size. The contexts of a group are lined up at their gram; they are cut at the columns where neighbours in the order of the
    right or of the left part first differ. A column range with its content is a symbol.
 3. Order. The block's symbols are one text; its suffixes are ordered by ``suffix_order``. What a suffix has in
    common with its neighbours, in bytes, tells which strings from its first range on occur again.
@@ -22,20 +22,21 @@ its prefix is met. Nothing is renamed and nothing recurses.
 
 Texts are handled once per distinct text and named by a 64-bit hash. Null and empty texts and those
 shorter than ``length`` have no span. Repeated rows are each other's repetition. No task holds all anchors of a
-frequent gram: these are counted before the shuffle and their sums are broadcast. A gram with more different
-contexts than a tenth of a block is in no block: each of its contexts gives a hash of every string of ``length``
-bytes around the gram, with the column it starts at, and a string that two contexts give occurs again.
+frequent gram: these are counted before the shuffle and the sums of at most 1,000 of them are broadcast. Grams, contexts
+and their parts are told apart by 64-bit hashes of their bytes; none of these is a polynomial of the bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from locusframe.llm.common import column, stored
 from locusframe.llm.ngramjoin import mixed
@@ -174,11 +175,14 @@ class Anchors:
             for start in range(0, max(1, len(hashes) - self.run + 1), most - self.run + 1)
         ]
         places = parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
-        start = np.maximum(places - (self.length - gram), 0)
-        end = np.minimum(places + self.length, n)
-        shape = ((places - start) * 65536 + (end - places)).astype(np.uint64)
-        context = mixed(mixed((total[end] - total[start]) * self.inverse[start]) + shape)
-        return hashes[places].astype(np.int64), context.astype(np.int64), places
+        # The rolling hash only picks places; what is found there is named by a hash that no built text makes collide.
+        reach = self.length - gram
+        names = np.empty((2, len(places)), np.uint64)
+        for i, p in enumerate(places.tolist()):
+            start, end = max(0, p - reach), min(n, p + self.length)
+            names[0, i] = xxh3_64_intdigest(data[p : p + gram])
+            names[1, i] = xxh3_64_intdigest(data[start:end], (p - start) * 65536 + end - p)
+        return names[0].view(np.int64), names[1].view(np.int64), places
 
 
 def common_bytes(rows: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +218,8 @@ def repeated_starts(contexts: np.ndarray, groups: np.ndarray, length: int, gram:
     place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     cut = first_cut[groups[owner]] + place
     begin, end = cut_column[cut], cut_column[cut + 1]
-    power = np.cumprod(np.r_[np.uint64(1), np.full(width - 1, _BASE, np.uint64)])
+    # Unrelated factors of the columns; powers of one number would let built texts collide.
+    power = mixed(np.arange(1, width + 1, dtype=np.uint64)) | np.uint64(1)
     total = np.zeros((len(contexts), width + 1), np.uint64)
     np.cumsum((contexts.astype(np.uint64) + np.uint64(1)) * power, axis=1, out=total[:, 1:])
     content = mixed(total[owner, end] - total[owner, begin]) ^ mixed(cut.astype(np.uint64))
@@ -243,10 +248,15 @@ def _spans_of_block(length: int, gram: int):
     left, width = length - gram, 2 * length - gram
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates(["h", "c"]).sort_values(["h", "c"], kind="stable")
+        frame = frame.sort_values(["h", "th", "p"], kind="stable")
         _, groups = np.unique(frame["h"].to_numpy(), return_inverse=True)
         contexts = np.frombuffer(b"".join(frame["bytes"]), np.uint8).reshape(-1, width)
+        # Columns that no string of the group covers count as equal.
+        a, b = frame["a"].to_numpy(), frame["b"].to_numpy()
+        columns = np.arange(width)
+        contexts = np.where((columns >= a[:, None]) & (columns < b[:, None] + length), contexts, np.uint8(255))
         owner, first, last = repeated_starts(contexts, groups.astype(np.int64), length, gram)
+        first, last = np.maximum(first, a[owner]), np.minimum(last, b[owner])
         single = (frame["m"].to_numpy() == 1)[owner]
         owner, first, last = owner[single], first[single], last[single]
         base = frame["p"].to_numpy()[owner] - left
@@ -261,41 +271,56 @@ def _spans_of_block(length: int, gram: int):
     return run
 
 
-def _strings_of_contexts(length: int, gram: int):
-    left, width = length - gram, 2 * length - gram
-    power = np.cumprod(np.r_[np.uint64(1), np.full(width - 1, _BASE, np.uint64)])
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """(h, s, g, th, p, m): column and hash of every string of ``length`` bytes around a context's gram."""
-        for whole in frames:
-            for at in range(0, len(whole), 1000):
-                frame = whole.iloc[at : at + 1000]
-                contexts = np.frombuffer(b"".join(frame["bytes"]), np.uint8).reshape(-1, width)
-                total = np.zeros((len(contexts), width + 1), np.uint64)
-                np.cumsum((contexts.astype(np.uint64) + np.uint64(1)) * power, axis=1, out=total[:, 1:])
-                hashes = mixed(total[:, length:] - total[:, : left + 1])
-                columns = np.arange(left + 1)
-                inside = (columns >= frame["low"].to_numpy()[:, None]) & (columns + length <= frame["high"].to_numpy()[:, None])
-                owner, s = np.nonzero(inside)
-                made = {"h": frame["h"].to_numpy()[owner], "s": s.astype(np.int32), "g": hashes[owner, s].astype(np.int64)}
-                yield pd.DataFrame(made | {c: frame[c].to_numpy()[owner] for c in ("th", "p", "m")})
-
-    return run
-
-
-def counted(rows: DataFrame, keys: list[str]) -> DataFrame:
+def counted(rows: DataFrame, keys: list[str], deal: list[str]) -> DataFrame:
     """The stored rows with the number ``n`` of rows of equal ``keys``.
 
-    Keys of more than a thousandth of the rows (and 1000) are counted before the shuffle, and their rows are dealt at random.
+    Keys of more than a thousandth of the rows (and 1000) are counted before the shuffle, and their rows are dealt by ``deal``.
     """
     most = max(1000, rows.count() // 1000)
     heavy = stored(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("heavy")).filter(F.col("heavy") > most), "heavy")
     marked = rows.join(F.broadcast(heavy), keys, "left")
-    salt = F.when(F.col("heavy").isNotNull(), F.xxhash64("th", "p")).otherwise(0)
+    salt = F.when(F.col("heavy").isNotNull(), F.xxhash64(*deal)).otherwise(0)
     near = F.count(F.lit(1)).over(Window.partitionBy(*keys, "salt"))
     return marked.withColumn("salt", salt).withColumn("n", F.coalesce("heavy", near)).drop("heavy", "salt")
 
 
+def narrowed(contexts: DataFrame, length: int, gram: int, most: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Groups of at most ``most`` contexts that may share a string, and the spans of those that are equal.
+
+    ``contexts`` has (th, p, m, low, high, bytes). A string of ``length`` bytes that starts at one of the columns ``a`` to ``b``
+    covers the columns ``b`` to ``a + length``, so contexts that share one are equal there: that is their group. Each
+    round cuts the ranges of starts into shorter ones, which makes what must be equal longer. Contexts alone in their group
+    share nothing. Those equal at all columns that the starts reach share all the strings, and one stands for them.
+    ``h`` names a group. Groups that are still too large go to the next round; in the last, of one start each, all of a group are equal.
+    """
+    left = length - gram
+    starts = left + 1
+    steps = sorted({-(-starts // 2), -(-starts // 12), 1}, reverse=True)
+    bytes_ = lambda first, stop: F.substring("bytes", first + 1, stop - first)
+    active = contexts.withColumns({"a": F.lit(0), "b": F.lit(left)})
+    small, spans = [], []
+    for step in steps:
+        cut = active.withColumn("a", F.explode(F.sequence("a", "b", F.lit(step))))
+        cut = cut.withColumn("b", F.least("b", F.col("a") + step - 1))
+        a, b = F.col("a"), F.col("b")
+        cut = cut.withColumns({"h": F.xxhash64("a", "b", bytes_(b, a + length)), "reach": F.xxhash64(bytes_(a, b + length))})
+        cut = stored(cut.select("h", "reach", "a", "b", "th", "p", "m", "low", "high"), "ranges")
+        equal = counted(cut, ["h", "reach"], ["th", "p"])
+        first, last = F.greatest("a", "low"), F.least("b", F.col("high") - length)
+        again = equal.filter((F.col("n") > 1) & (F.col("m") == 1)).filter(first <= last)
+        spans.append(again.select("th", (F.col("p") - left + first).alias("start"), (F.col("p") - left + last + length).alias("stop")))
+        one = F.min(F.struct("th", "p", "low", "high")).alias("one")
+        unlike = cut.groupBy("h", "reach", "a", "b").agg(one, (F.sum("m")).alias("m"))
+        unlike = stored(unlike.select("h", "a", "b", "m", "one.*"), "unlike")
+        groups = stored(counted(unlike, ["h"], ["th", "p"]).filter("n > 1"), "groups")
+        small.append(groups.filter(F.col("n") <= most).drop("n"))
+        crowded = groups.filter(F.col("n") > most)
+        if crowded.isEmpty():
+            break
+        active = crowded.select("th", "p", "a", "b", "m").join(contexts.select("th", "p", "low", "high", "bytes"), ["th", "p"])
+    return reduce(DataFrame.unionByName, small), spans
+
+
 def united(spans, size: int) -> list[tuple[int, int]]:
     """Maximal runs of the bytes in the spans."""
     out: list[list[int]] = []
@@ -355,7 +380,8 @@ def repeated_spans(
     unlike = F.coalesce(F.col("heavy"), (F.col("least") == 1) & (F.col("low") != F.col("high")))
     live = stored(rows.select("h", "c", "th", "p", "m", unlike.alias("unlike")), "anchors")
     needed = live.filter("unlike").groupBy("h", "c").agg(F.min(F.struct("th", "p")).alias("at"), F.max("m").alias("m"))
-    needed = stored(needed.select("h", "c", "at.th", "at.p", "m"), "contexts")
+    needed = needed.select("at.th", "at.p", "m")
+
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
@@ -366,31 +392,20 @@ def repeated_spans(
                     p = e["p"]
                     low, high = max(0, left - p), min(width, n - p + left)
                     piece = b"\xff" * low + data[max(0, p - left) : p + length] + b"\xff" * (width - high)
-                    out.append((e["h"], e["c"], th, p, e["m"], low, high, piece))
-            yield pd.DataFrame(out, columns=["h", "c", "th", "p", "m", "low", "high", "bytes"])
-
-    kind = "h long, c long, th long, p long, m long, low int, high int, bytes binary"
-
-    def contexts(some: DataFrame) -> DataFrame:
-        wanted = some.groupBy("th").agg(F.collect_list(F.struct("h", "c", "p", "m")).alias("list"))
-        return distinct_texts(documents, text).join(wanted, "th").mapInPandas(cut, kind)
-
-    crowded = needed.groupBy("h").agg(F.count(F.lit(1)).alias("rows"))
-    crowded = stored(crowded.filter(F.col("rows") > max(1, contexts_per_block // 10)).select("h"), "crowded")
-    rest = needed.join(F.broadcast(crowded), "h", "left_anti")
-    blocks = max(1, needed.count() // contexts_per_block)
+                    out.append((th, p, e["m"], low, high, piece))
+            yield pd.DataFrame(out, columns=["th", "p", "m", "low", "high", "bytes"])
+
+    wanted = needed.groupBy("th").agg(F.collect_list(F.struct("p", "m")).alias("list"))
+    kind = "th long, p long, m long, low int, high int, bytes binary"
+    contexts = stored(distinct_texts(documents, text).join(wanted, "th").mapInPandas(cut, kind), "contexts")
+    groups, equal = narrowed(contexts, length, gram, max(1, contexts_per_block // 10))
+    groups = stored(groups, "small-groups")
+    blocks = max(1, groups.count() // contexts_per_block)
     block = F.pmod(F.xxhash64("h", F.lit(8)), F.lit(blocks)).alias("block")
-    found = contexts(rest).withColumn("block", block).groupBy("block").applyInPandas(
+    found = groups.join(contexts.select("th", "p", "bytes"), ["th", "p"]).withColumn("block", block).groupBy("block").applyInPandas(
         _spans_of_block(length, gram), "th long, start long, stop long"
     )
-    if not crowded.isEmpty():
-        of_crowded = contexts(needed.join(F.broadcast(crowded), "h", "left_semi"))
-        kind_of_string = "h long, s int, g long, th long, p long, m long"
-        strings = stored(of_crowded.mapInPandas(_strings_of_contexts(length, gram), kind_of_string), "strings")
-        again = counted(strings, ["h", "s", "g"]).filter("n > 1 AND m = 1")
-        # Strings of one context all hold its gram, so those that occur again cover one span.
-        ends = again.groupBy("th", "p").agg(F.min("s").alias("first"), F.max("s").alias("last"))
-        found = found.union(ends.select("th", F.expr(f"p - {left} + first"), F.expr(f"p - {left} + last + {length}")))
+    found = reduce(DataFrame.union, equal, found)
     whole = live.filter("m > 1").select("th", F.greatest(F.col("p") - left, F.lit(0)).alias("start"), (F.col("p") + length).alias("stop"))
     spans = found.union(whole)
     return spans.groupBy("th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
