@@ -36,6 +36,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
 from locusframe.llm.common import column, stored
 from locusframe.llm.components import components
@@ -55,8 +56,8 @@ _CHUNKS = 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -68,6 +69,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:end]``.
+
+    Eight bytes at a time are added and mixed, a bijection each, so no two words of up to eight bytes and equal length
+    collide, and none of the longer ones by the structure that sums of powers have.
+    """
+    size = end - start
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray((len(data) + 1,), "<u8", padded.tobytes(), strides=(1,))
+    word = mixed(size.astype(np.uint64))
+    rest = np.flatnonzero(size <= LONG_WORD)
+    at = 0
+    while len(rest):
+        left = np.minimum(size[rest] - at, 8)
+        part = eights[start[rest] + at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * left.astype(np.uint64)))
+        word[rest] = mixed(word[rest] + part)
+        at += 8
+        rest = rest[size[rest] > at]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        word[i] = xxh3_64_intdigest(data[start[i] : end[i]].tobytes())
+    return word
+
+
 #: Factors of a word's place in an n-gram. They are unrelated, so no order of the same words gives an equal sum.
 _PLACES = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -77,14 +101,6 @@ class Shingler:
 
     def __init__(self, n: int):
         self.n = n
-        self.power = self.inverse = np.ones(1, np.uint64)
-
-    def _powers(self, size: int) -> None:
-        if len(self.power) <= size:
-            ones = np.ones(size + 1, np.uint64)
-            base, inverse = ones * _BASE, ones * _INVERSE
-            base[0] = inverse[0] = 1
-            self.power, self.inverse = np.cumprod(base), np.cumprod(inverse)
 
     def sets(self, texts: list[str | None]) -> list[np.ndarray]:
         out = []
@@ -103,12 +119,10 @@ class Shingler:
         n = self.n
         data = np.frombuffer(b"\n".join(batch) + b"\n", np.uint8)
         ends_of = np.cumsum([len(b) + 1 for b in batch])
-        self._powers(len(data))
         space = _SPACE[data]
         start = np.flatnonzero(~space & np.r_[True, space[:-1]])
         end = np.flatnonzero(~space & np.r_[space[1:], True]) + 1
-        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.power[: len(data)])])
-        word = mixed((total[end] - total[start]) * self.inverse[start] + (end - start).astype(np.uint64))
+        word = word_hashes(data, start, end)
         first = np.searchsorted(start, np.r_[0, ends_of])
         grams = np.zeros(len(word), np.uint64)
         if len(word) >= n:

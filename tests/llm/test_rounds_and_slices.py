@@ -46,3 +46,25 @@ def test_trigrams_do_not_depend_on_slices(monkeypatch):
     for size in (7, 64, 1000, 1 << 20):
         monkeypatch.setattr(toxicity, "SLICE", size)
         assert (toxicity.count_trigrams(texts) == expected).all()
+
+
+def test_words_that_sums_of_powers_confuse_stay_apart(spark):
+    """The Thue-Morse word and its complement have equal sums of powers modulo 2^64, whatever the base."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = spark.createDataFrame([(1, word[:1024]), (2, other[:1024]), (3, word), (4, other), (5, word)], "doc_id long, text string")
+    found = ngramjoin.near_duplicates(rows, 4, 85).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 3)]
+
+
+def test_words_are_told_apart_by_all_their_bytes():
+    chance = np.random.default_rng(8)
+    words = {bytes(chance.integers(97, 99, size).astype(np.uint8)) for size in range(1, 90) for _ in range(40)}
+    words = sorted(words)
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    start = end - [len(w) for w in words]
+    hashes = ngramjoin.word_hashes(data, start, end)
+    assert len(set(hashes.tolist())) == len(words)
+    one = ngramjoin.word_hashes(np.frombuffer(words[77], np.uint8), np.array([0]), np.array([len(words[77])]))
+    assert one[0] == hashes[77]
