@@ -5,7 +5,8 @@ nearest by distance is the largest by inner product; queries get a zero there.
 
 * Equal vectors are one node. A node keeps the ``k + 1`` smallest ids of its rows, which is all that a result
   of ``k`` rows without the query's own can need; no row of another vector is affected.
-* Nodes are dealt to shards by a hash. A shard's graph grows in batches: a greedy beam search over the
+* Nodes are dealt by their length to bands, in which lengths differ by a factor of 2 at most, and in a band by a hash to
+  shards. Very long vectors are so in shards of their own and drown no differences of others. A shard's graph grows in batches: a greedy beam search over the
   graph so far proposes neighbours; pruning keeps the nearest and drops every candidate that is nearer, by
   the factor ``alpha``, to a kept one than to the node. Edges go both ways; full lists are pruned again.
 * Every distinct query vector is searched in every shard, in blocks of queries. A shard gives its best
@@ -37,9 +38,22 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & fine & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def scaled(vectors: np.ndarray, axis: int | None) -> np.ndarray:
+    """Vectors over the largest component of all of them (axis None) or of each (1): no square of it overflows."""
+    return vectors / np.abs(vectors).max(axis=axis, keepdims=True) if vectors.size else vectors
+
+
+def length_band(vector: Column) -> Column:
+    """Lengths of one band differ by a factor of 2 at most; a length of 1 lies in a band's middle."""
+    largest = F.array_max(F.transform(vector, F.abs))
+    square = F.aggregate(vector, F.lit(0.0), lambda t, x: t + (x / largest) * (x / largest))
+    return F.floor(F.log2(largest) + F.log2(square) / 2 + 0.5).cast("int")
+
+
 def lifted(vectors: np.ndarray) -> np.ndarray:
     """Vectors of one length: with a last component that makes up for shorter ones."""
-    square = (vectors.astype(np.float64) ** 2).sum(1)
+    vectors = scaled(vectors.astype(np.float64), None)
+    square = (vectors**2).sum(1)
     rest = np.sqrt(np.maximum(square.max() - square, 0)) if len(square) else square
     return np.concatenate([vectors, rest[:, None]], 1).astype(np.float32)
 
@@ -150,7 +164,7 @@ def build(vectors: np.ndarray, degree: int = 32, width: int = 64, alpha: float =
     return edges[:n], starts
 
 
-_GRAPH = "shard int, dim int, n int, vectors binary, edges binary, starts binary, members binary, counts binary"
+_GRAPH = "dim int, band int, shard int, n int, vectors binary, edges binary, starts binary, members binary, counts binary"
 
 
 def _build_shard(degree: int, width: int, alpha: float):
@@ -161,8 +175,9 @@ def _build_shard(degree: int, width: int, alpha: float):
         members = [np.asarray(m, np.int64) for m in frame["members"]]
         return pd.DataFrame(
             {
-                "shard": [int(frame["shard"].iloc[0])],
                 "dim": [vectors.shape[1]],
+                "band": [int(frame["band"].iloc[0])],
+                "shard": [int(frame["shard"].iloc[0])],
                 "n": [len(vectors)],
                 "vectors": [vectors.tobytes()],
                 "edges": [edges.astype(np.int32).tobytes()],
@@ -187,7 +202,7 @@ def _search_shard(k: int, degree: int, width: int):
         members, counts = np.frombuffer(g["members"], np.int64), np.frombuffer(g["counts"], np.int32)
         ends = np.cumsum(counts)
         asked = np.array(queries["vector"].tolist(), np.float64)
-        flat = np.concatenate([asked, np.zeros((len(asked), 1))], 1).astype(np.float32)
+        flat = np.concatenate([scaled(asked, 1), np.zeros((len(asked), 1))], 1).astype(np.float32)
         space = lifted(vectors)
         out = []
         step = max(1, min(2048, _MARKS // (len(vectors) + 1)))
@@ -207,7 +222,7 @@ def _search_shard(k: int, degree: int, width: int):
 
 def nearest(
     embeddings: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id", vector: str = "embedding",
-    rows_per_shard: int = 50_000, least_shards: int = 12, degree: int = 32, width: int = 80, alpha: float = 1.2,
+    rows_per_shard: int = 10_000, least_shards: int = 12, degree: int = 32, width: int = 80, alpha: float = 1.2,
     queries_per_block: int = 20_000,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows found for the rows where ``is_query`` holds."""
@@ -221,20 +236,22 @@ def nearest(
     by_id = Window.partitionBy("vector").orderBy("id")
     few = rows.select("vector", "id").withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
     nodes = few.groupBy("vector").agg(F.array_sort(F.collect_list("id")).alias("members"), F.min("id").alias("least"))
-    nodes = stored(nodes.withColumn("dim", F.size("vector")), "nodes")
-    shards = max(1, least_shards, -(-nodes.count() // rows_per_shard))
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("least"), F.lit(shards)).cast("int"))
-    graphs = stored(dealt.groupBy("shard", "dim").applyInPandas(_build_shard(degree, width, alpha), _GRAPH), "graphs")
+    nodes = stored(nodes.withColumn("dim", F.size("vector")).withColumn("band", length_band(F.col("vector"))), "nodes")
+    size = max(1, min(rows_per_shard, -(-nodes.count() // least_shards)))
+    # One row for each number of components and band of lengths; doubles have some 2,100 bands.
+    kinds = nodes.groupBy("dim", "band").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("shards"))
+    kinds = stored(kinds, "kinds")
+    dealt = nodes.join(kinds, ["dim", "band"]).withColumn("shard", F.pmod(F.xxhash64("least"), F.col("shards")).cast("int"))
+    graphs = stored(dealt.groupBy("dim", "band", "shard").applyInPandas(_build_shard(degree, width, alpha), _GRAPH), "graphs")
 
     asked = rows.filter("asks").select("id", "vector")
     distinct = asked.groupBy("vector").agg(F.min("id").alias("query")).withColumn("dim", F.size("vector"))
     distinct = stored(distinct, "queries")
     blocks = max(1, -(-distinct.count() // queries_per_block))
-    places = F.sequence(F.lit(0), F.lit(shards - 1))
     sent = distinct.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int"))
-    sent = sent.withColumn("shard", F.explode(places))
+    sent = sent.join(kinds, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
     copies = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    key = ["shard", "block", "dim"]
+    key = ["dim", "band", "shard", "block"]
     found = (
         copies.groupBy(*key)
         .cogroup(sent.groupBy(*key))
