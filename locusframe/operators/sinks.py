@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.functions import lines
@@ -28,13 +28,14 @@ def write_region_lines(
     compression: str | None = None,
     cell_width: int = CELL_WIDTH,
     spread: int = SPREAD,
+    header_when_empty: bool = True,
 ) -> None:
     """Text files ``path/part_id=<n>/piece=<k>/``: first the header's, then one per piece, rows in order.
 
     A region's files in order of their paths are its whole text, the header once at its top; gzip
     files can be joined as they are. The lanes of a cell are sorted runs; ``spread=1`` gives one run,
-    so that the whole text is sorted. A region without rows has the header's file alone, or none
-    without a header.
+    so that the whole text is sorted. A region without rows has the header's file alone; it has one empty file
+    if there is no header, or none for it (``header_when_empty=False``).
     """
     body = with_pieces(df, rank, pos, cell_width, spread).select(
         PART,
@@ -46,20 +47,53 @@ def write_region_lines(
         *[F.col(c).alias(f"then_{i}") for i, c in enumerate(order)],
         line.alias("value"),
     )
-    if header:
-        heads = df.sparkSession.range(num_parts).select(
-            F.col("id").cast("int").alias(PART),
-            F.lit(HEADER_PIECE).alias(PIECE),
-            F.lit(0).alias("section"),
-            F.posexplode(F.array(*[F.lit(h) for h in header])).alias("number", "value"),
-        )
-        body = body.unionByName(heads, allowMissingColumns=True)
+    headed = header and header_when_empty
+    if headed:
+        body = body.unionByName(_headers(_all_regions(df.sparkSession, num_parts), header), allowMissingColumns=True)
     keys = [PART, PIECE, "section", "number", "at_rank", "at_pos", *[f"then_{i}" for i in range(len(order))]]
     placed = body.repartition(PART, PIECE).sortWithinPartitions(*keys)
-    writer = placed.select(PART, PIECE, "value").write.partitionBy(PART, PIECE)
-    if compression:
-        writer = writer.option("compression", compression)
-    writer.text(path)
+    options = {"compression": compression} if compression else {}
+    placed.select(PART, PIECE, "value").write.partitionBy(PART, PIECE).options(**options).text(path)
+    if not headed:
+        _add_headers_and_empty_files(df.sparkSession, path, num_parts, header, options)
+
+
+def _all_regions(spark: SparkSession, num_parts: int) -> DataFrame:
+    return spark.range(num_parts).select(F.col("id").cast("int").alias(PART))
+
+
+def _headers(parts: DataFrame, header: Sequence[str]) -> DataFrame:
+    return parts.select(
+        PART,
+        F.lit(HEADER_PIECE).alias(PIECE),
+        F.lit(0).alias("section"),
+        F.posexplode(F.array(*[F.lit(h) for h in header])).alias("number", "value"),
+    )
+
+
+def _add_headers_and_empty_files(
+    spark: SparkSession, path: str, num_parts: int, header: Sequence[str], options: dict[str, str]
+) -> None:
+    """Adds the header to regions that have files and an empty file to the others.
+
+    Only file names are read to tell which regions have files, so the rows are not computed again.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    number = F.regexp_extract("path", rf"/{PART}=(-?\d+)/{PIECE}=[^/]*/[^/]*$", 1)
+    filled = listed.select(number.cast("int").alias(PART)).distinct()
+    bare = _all_regions(spark, num_parts).join(filled, PART, "left_anti")
+    # A row with a null alone opens its file, and the delimited format writes nothing for it, not even a line's end.
+    marked = bare.select(PART, F.lit(HEADER_PIECE).alias(PIECE), F.lit(None).cast("string").alias("value"))
+    if header:
+        heads = _headers(filled.filter(F.col(PART) >= 0), header)
+        ordered = heads.repartition(PART).sortWithinPartitions(PART, PIECE, "number").select(PART, PIECE, "value")
+        ordered.write.mode("append").partitionBy(PART, PIECE).options(**options).text(path)
+    marked.repartition(PART).write.mode("append").partitionBy(PART, PIECE).options(emptyValue="", **options).csv(path)
+
+
+def region_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files of all regions, empty ones included; as many as the layout has pieces."""
+    return list(spark.read.text(path).inputFiles())
 
 
 def write_region_vcf(

@@ -267,6 +267,37 @@ def region_tsv_files(spark: SparkSession, sf: str) -> DataFrame:
     return _read_back(spark, path, F.col("value").startswith("l_orderkey"))
 
 
+@query(
+    "region_empty_files",
+    f"""WITH {inputs.BED_LINES_SQL}, {inputs.POSITIONS_SQL},
+parts AS (SELECT p0 AS part_id FROM range(0, 23) t(p0)),
+source AS (SELECT 'bed' AS kind, c - 1 AS part_id FROM bed UNION ALL SELECT 'tsv', c - 1 FROM positions),
+n AS (SELECT kind, part_id, count(*) AS n FROM source GROUP BY 1, 2),
+kinds AS (SELECT unnest(['bed', 'tsv']) AS kind)
+SELECT kind, part_id, true AS has_file, coalesce(n, 0) + CASE WHEN kind = 'tsv' AND n > 0 THEN 1 ELSE 0 END AS n_lines
+FROM kinds CROSS JOIN parts LEFT JOIN n USING (kind, part_id)""",
+)
+def region_empty_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every region has a file; that of a region without rows is empty, without a header too."""
+    layout = layouts.preset(spark, "grch38part23")
+    bed, tsv = shared_path(spark, "empty-bed"), shared_path(spark, "empty-tsv")
+    lines_ = regions.assign_lines(inputs.bed_lines(spark, sf), layout)
+    sinks.write_region_bed(lines_, bed, layout.num_parts)
+    positions = regions.assign_regions(inputs.positions(spark, sf), layout)
+    columns = ["l_orderkey", "contig", "pos"]
+    sinks.write_region_tsv(positions, tsv, layout.num_parts, columns, header_when_empty=False)
+
+    def counted(kind: str, path: str) -> DataFrame:
+        n = spark.read.text(path).groupBy("part_id").agg(F.count(F.lit(1)).alias("n"))
+        files = spark.createDataFrame([(f,) for f in sinks.region_files(spark, path)], "file string")
+        listed = files.select(F.regexp_extract("file", r"/part_id=(\d+)/", 1).cast("int").alias("part_id"), F.lit(True).alias("has_file"))
+        return listed.distinct().join(n, "part_id", "full").select(
+            F.lit(kind).alias("kind"), "part_id", F.coalesce("has_file", F.lit(False)).alias("has_file"), F.coalesce("n", F.lit(0)).alias("n_lines")
+        )
+
+    return counted("bed", bed).unionByName(counted("tsv", tsv))
+
+
 @query(
     "alignment_files",
     f"""WITH {inputs.PAIRS_SQL}

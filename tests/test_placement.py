@@ -1,5 +1,6 @@
 """Physical placement, hot regions, global order and row numbers."""
 
+import gzip
 import random
 
 import pytest
@@ -109,6 +110,43 @@ def test_region_files(spark, tmp_path, spread):
     assert {r.part_id: r.result for r in texts} == {n: "".join(x for part in parts for x in part) for n, parts in files.items()}
 
 
+@pytest.mark.parametrize("compression", [None, "gzip"])
+@pytest.mark.parametrize("header", [[], ["#a", "#b"]])
+def test_every_region_has_a_file(spark, tmp_path, header, compression):
+    layout = layouts.fixed(spark, LENGTHS, 100_000)
+    assigned = regions.assign_regions(reads(spark).filter("pos < 250000"), layout)
+    line = F.concat_ws("\t", "contig", "pos", "id")
+    path = str(tmp_path / "out")
+    sinks.write_region_lines(
+        assigned, path, layout.num_parts, line, header, compression=compression, header_when_empty=False
+    )
+    opened = gzip.open if compression else open
+    files = {}
+    for file in sorted((tmp_path / "out").glob("part_id=*/piece=*/part-*")):
+        with opened(file, "rt") as text_:
+            files.setdefault(int(file.parts[-3].split("=")[1]), []).append(text_.read())
+    assert set(files) == set(range(layout.num_parts))
+    want = {}
+    for r in assigned.select("part_id", line.alias("line")).collect():
+        want.setdefault(r.part_id, []).append(r.line)
+    assert set(want) != set(files)
+    for part, texts in files.items():
+        whole = "".join(texts).splitlines()
+        if part in want:
+            assert whole[: len(header)] == header and sorted(whole[len(header) :]) == sorted(want[part])
+        else:
+            assert texts == [""]
+    assert len(sinks.region_files(spark, path)) == sum(map(len, files.values()))
+
+
+def test_every_region_has_a_file_without_any_row(spark, tmp_path):
+    layout = layouts.fixed(spark, LENGTHS, 100_000)
+    assigned = regions.assign_regions(reads(spark).filter("pos < 0"), layout)
+    sinks.write_region_lines(assigned, str(tmp_path / "out"), layout.num_parts, F.col("contig"), ["#a"], header_when_empty=False)
+    files = list((tmp_path / "out").glob("part_id=*/piece=*/part-*"))
+    assert len(files) == layout.num_parts and all(f.stat().st_size == 0 for f in files)
+
+
 def test_concatenated_reads_of_a_hot_cell_are_many_files_in_order(spark, monkeypatch):
     chance = random.Random(7)
     rows = [(i, "chr1", 5 if i % 2 else chance.randrange(1, 900)) for i in range(4000)] + [(9000, "chr2", 7)]
