@@ -64,12 +64,13 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) of all nodes of the edges (u, v); a component's name is its least node.
 
     Edges of one task are contracted first; rounds of stars join what lies in several tasks, until every edge
-    leads to a least node. Their number grows with the logarithm of the longest chain of tasks' parts. Loops,
-    repeated and reversed edges, nulls (dropped) and empty tables are fine. Memory does not depend on the size
+    leads to a least node. Their number grows with the logarithm of the longest chain of tasks' parts. Edges that are
+    few enough for the ``LOCAL_NODES`` of one task need no round: that task joins them for good, to the same stars.
+    Loops, repeated and reversed edges, nulls (dropped) and empty tables are fine. Memory does not depend on the size
     of a component.
     """
     state = stored(_contracted(edges.select("u", "v").filter("u != v")).distinct(), label)
-    while not _flat(state):
+    while not (fits := 2 * state.count() <= LOCAL_NODES) and not _flat(state):
         both = state.union(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.filter("u != v").distinct()
@@ -78,5 +79,7 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         # Read back, small files share tasks, so that more is contracted at once.
         starred = stored(small.filter("u != v").distinct(), label)
         state = stored(_contracted(starred).distinct(), label)
+    if fits:
+        state = stored(_contracted(state.coalesce(1)), label)
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(state.select("v", "v").distinct())

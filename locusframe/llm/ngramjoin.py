@@ -11,7 +11,8 @@ sequence as one. Equal sets are one class and travel once.
 3. Filters. A pair in a group counts if the sizes allow the threshold and if the positions leave enough
    n-grams for the overlap needed.
 4. First round. A group's classes are put in order of size, and neighbours are verified: a line through the
-   group, not all its pairs. Components of the links found follow.
+   group, not all its pairs. Only pairs that pass the suffix filter of step 5 have their sets sent. Components of the
+   links found follow.
 5. Second round. Groups that still hold several components are open. Classes that meet in open groups form
    arenas. An arena's classes are sent once, or for a large arena once per part, to cells of bounded mean size, each with its
    n-grams of open groups and a count of its n-grams by ranges of hashes, not with its set.
@@ -275,6 +276,22 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").filter(linked("left", "right")).select("a", "b").distinct()
 
 
+def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, total size) whose counts by ranges of hashes allow the threshold; sets do not travel for this."""
+
+    @F.pandas_udf("long")
+    def apart(left: pd.Series, right: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, RANGES).astype(np.int16) for s in (left, right))
+        return pd.Series(np.abs(x - y).sum(1, dtype=np.int64))
+
+    spreads = sets.select("cid", "spread").dropDuplicates(["cid"])
+    one = spreads.select(F.col("cid").alias("a"), F.col("spread").alias("left"))
+    two = spreads.select(F.col("cid").alias("b"), F.col("spread").alias("right"))
+    # Sets at the threshold differ in at most (nx + ny) (1 - t) / (1 + t) n-grams.
+    most = F.lit(100 - percent) * F.col("total")
+    return pairs.join(one, "a").join(two, "b").filter(F.lit(100 + percent) * apart("left", "right") <= most).select("a", "b")
+
+
 def spread_of(grams: np.ndarray) -> bytes:
     """How many n-grams of a sorted set lie in each of ``RANGES`` ranges of hashes, 255 at most."""
     counts = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=RANGES)
@@ -362,13 +379,13 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
     line = live.filter(together[0]).selectExpr(
         "down.cid x", "down.n x_n", "down.pos x_pos", "cid y", "n y_n", "pos y_pos"
     )
-    pairs = line.filter(_fits(percent)).selectExpr("least(x, y) a", "greatest(x, y) b").distinct()
+    pairs = line.filter(_fits(percent)).selectExpr("least(x, y) a", "greatest(x, y) b", "x_n + y_n total").distinct()
     groups = live.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low != high").select("h")
     live = live.select("h", "cid", "n", "pos").distinct().join(groups, "h", "left_semi")
     ids = rows.filter("n > 0").groupBy("cid").agg(F.min("_id").alias("_id"))
     wanted = live.select("cid").distinct().join(ids, "cid")
     sets = stored(class_sets(documents, wanted, n), "sets")
-    links = stored(verified(stored(pairs, "pairs"), sets, percent), "links")
+    links = stored(verified(stored(alike(pairs, sets, percent), "pairs"), sets, percent), "links")
     component = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     named = live.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     spans = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("v"))
