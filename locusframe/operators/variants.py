@@ -6,13 +6,14 @@ Coordinates of the result are 0-based and half-open: ``start = POS - 1`` and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusframe.functions import lines
 from locusframe.functions.sharing import compute_here, once
+from locusframe.operators.lookup import lookup_join
 from locusframe.operators.overlap import overlap_filter
-from locusframe.sources.vcf_header import GENOTYPE_NAMES, HeaderField, VcfHeader
+from locusframe.sources.vcf_header import GENOTYPE_NAMES, HeaderField, VcfHeader, file_samples, merged_header
 
 MISSING_ALLELE = -1
 # The leading columns of a variant line.
@@ -99,6 +100,7 @@ def parse_variants(
     intervals: DataFrame | None = None,
     partitions: int | None = None,
     genotypes: bool = True,
+    samples: str | None = None,
 ) -> DataFrame:
     """Typed variant table of text lines; header lines and empty lines give no row.
 
@@ -112,13 +114,15 @@ def parse_variants(
     alternates and filters. ``intervals`` (contig, start, end) drops variants that overlap none
     of them before genotypes are parsed. ``partitions`` asks for a round-robin shuffle.
     ``genotypes=False`` leaves the genotypes out; unlike the other columns they are parsed even
-    where a query does not use them.
+    where a query does not use them. ``samples`` names a column with the sample ids of each line, which
+    then stand for those of the header; a line with genotypes but without ids fails.
     """
     if mode not in ("failfast", "permissive"):
         raise ValueError("mode must be 'failfast' or 'permissive'")
     # One select per stage: each later expression names a column instead of repeating its text.
+    ids = [F.col(samples).alias("line_samples")] if samples and genotypes else []
     cells = df.filter(~lines.is_header(F.col(row))).select(
-        F.col(row).alias("line"), F.split(row, "\t").alias("cell")
+        F.col(row).alias("line"), F.split(row, "\t").alias("cell"), *ids
     )
 
     def cell(i: int) -> Column:
@@ -144,6 +148,9 @@ def parse_variants(
         checked = F.col("cell")
         corrupt = ["_corrupt"]
     flagged = [F.when(broken, F.col("line")).alias(c) for c in corrupt]
+    if ids:
+        flagged.append(F.col("line_samples"))
+        corrupt = [*corrupt, "line_samples"]
     cells = compute_here(cells.select(*flagged, checked.alias("cell")), "cell", F.col("cell"))
 
     valued = [f for f in header.info if f.kind != "boolean"]
@@ -187,14 +194,35 @@ def parse_variants(
             start="first_base",
             end="end",
         ).drop("first_base")
-    table = _with_genotypes(core, header) if genotypes and header.samples else core.drop("cell")
+    table = _with_genotypes(core, header) if genotypes and (header.samples or ids) else core.drop("cell")
     return table.repartition(partitions) if partitions else table
 
 
+def parse_variant_files(spark: SparkSession, path: str, **options) -> DataFrame:
+    """:func:`parse_variants` of files that need not agree in samples or in the types of their fields.
+
+    A field has the type that fits all declarations. A line's genotypes carry the sample ids of its own file; the
+    table of files is joined to the lines by file name, by broadcast while it is small.
+    """
+    data = spark.read.text(path).select(F.col("value").alias("row"), F.col("_metadata.file_path").alias("line_file"))
+    data = data.filter(~lines.is_header(F.col("row")))
+    if not options.get("genotypes", True):
+        return parse_variants(data, merged_header(spark, path), **options)
+    named = lookup_join(data, file_samples(spark, path), on=[("line_file", "sample_file")], how="left")
+    return parse_variants(named.select("row", "sample_ids"), merged_header(spark, path), samples="sample_ids", **options)
+
+
 def _with_genotypes(core: DataFrame, header: VcfHeader) -> DataFrame:
     """Replace ``cell`` by the parsed genotypes of the samples present on the line."""
     names = F.split(F.get("cell", F.lit(8)), ":")
-    kept = [c for c in core.columns if c != "cell"]
+    kept = [c for c in core.columns if c not in ("cell", "line_samples")]
+    sample_ids = F.array(*[F.lit(s) for s in header.samples])
+    count: Column | int = len(header.samples)
+    own = [F.col("line_samples")] if "line_samples" in core.columns else []
+    if own:
+        sample_ids = F.col("line_samples")
+        unnamed = F.raise_error(F.lit("a variant line has genotypes, but its file has no #CHROM line"))
+        count = F.coalesce(F.size("line_samples"), unnamed.cast("int"))
 
     def place(key: str) -> Column:
         """1-based place of a key in FORMAT, null when it is not there."""
@@ -203,15 +231,15 @@ def _with_genotypes(core: DataFrame, header: VcfHeader) -> DataFrame:
 
     split_samples = F.when(
         F.size("cell") > 9,
-        F.transform(F.slice("cell", 10, len(header.samples)), lambda s: F.split(s, ":")),
+        F.transform(F.slice("cell", 10, count), lambda s: F.split(s, ":")),
     )
     opened = core.select(
         *kept,
+        *own,
         split_samples.alias("sample_values"),
         place("GT").alias("place_GT"),
         *[place(f.key).alias(f"place_{f.key}") for f in header.formats],
     )
-    sample_ids = F.array(*[F.lit(s) for s in header.samples])
 
     def at(values: Column, key: str) -> Column:
         return F.try_element_at(values, F.col(f"place_{key}"))

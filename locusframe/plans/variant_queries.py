@@ -171,6 +171,40 @@ def vcf_to_table(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: What the files of odd keys declare instead: other samples, a wider type, one more field.
+OTHER_HEADER = [
+    *(h.replace("ID=DP,Number=1,Type=Integer", "ID=DP,Number=1,Type=Float") for h in inputs.VCF_HEADER[:-1]),
+    '##INFO=<ID=OTHER,Number=1,Type=Integer,Description="Other">',
+    inputs.VCF_HEADER[-1].replace("S1\tS2\tS3", "S3\tS9\tS1"),
+]
+
+
+@query(
+    "vcf_multi_header",
+    f"""WITH {inputs.VCF_LINES_SQL}
+SELECT contig AS "contigName", p - 1 AS "start",
+  CASE WHEN k % 8 <> 0 AND k % 13 <> 0 THEN (k % 50)::DOUBLE END AS "INFO_DP",
+  CASE WHEN k % 8 <> 0 THEN 1 END AS "INFO_OTHER",
+  CASE WHEN k % 2 = 0 THEN ['S1', 'S2', 'S3'][i + 1] ELSE ['S3', 'S9', 'S1'][i + 1] END AS "sampleId",
+  CASE (k + i) % 4 WHEN 0 THEN '[0,0]' WHEN 1 THEN '[0,1]' WHEN 2 THEN '[1,1]' ELSE '[-1,-1]' END AS calls,
+  CASE WHEN (k + i) % 9 <> 0 THEN ((k + i) % 30)::DOUBLE END AS depth
+FROM vcf, range(0, 3) t(i)""",
+)
+def vcf_multi_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Two sets of files, in parts, that name different samples and declare DP differently."""
+    path = shared_path(spark, "vcf-sets")
+    data = inputs.vcf_lines(spark, sf)
+    for folder, header, odd in (("a", inputs.VCF_HEADER, 0), ("b", OTHER_HEADER, 1)):
+        top = spark.createDataFrame([("\n".join(header),)], "value string").coalesce(1)
+        rows = data.filter(F.col("id") % 2 == odd).select(F.col("row").alias("value"))
+        top.unionByName(rows).write.text(f"{path}/{folder}")
+    typed = variants.parse_variant_files(spark, f"{path}/*")
+    samples = typed.select("contigName", "start", "INFO_DP", "INFO_OTHER", F.explode("genotypes").alias("g"))
+    return samples.select(
+        "contigName", "start", "INFO_DP", "INFO_OTHER", "g.sampleId", _list_text(F.col("g.calls")).alias("calls"), "g.depth"
+    )
+
+
 @query("hwe_counts", f"WITH {inputs.COHORT_SQL} SELECT * FROM counts")
 def hwe_counts(spark: SparkSession, sf: str) -> DataFrame:
     counted = inputs.cohort(spark, sf).select("id", genetics.genotype_counts(F.col("genotypes")).alias("n"))

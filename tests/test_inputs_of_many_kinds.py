@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from locusframe.functions import lines
 from locusframe.operators.index import table_index
 from locusframe.operators.pipe import pipe_partitions
+from locusframe.operators.variants import parse_variant_files
 from locusframe.sources.fastq import read_fastq
-from locusframe.sources.vcf_header import read_header
+from locusframe.sources.vcf_header import HeaderField, file_samples, merged_header, read_header, widened
 
 HEAD = "##INFO=<ID=DP,Number=1,Type=Integer,Description=\"x\">\n"
 
@@ -35,6 +36,50 @@ def test_headers_of_all_files(spark, tmp_path):
         read_header(spark, str(tmp_path))
 
 
+COLUMNS = "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\t"
+
+
+def line(pos, info, *genotypes):
+    return "\t".join(["1", str(pos), ".", "A", "C", ".", ".", info, "GT", *genotypes]) + "\n"
+
+
+def test_files_with_different_samples_and_types(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text(HEAD + COLUMNS + "A\tB\r\n" + line(1, "DP=3", "0/1", "1/1"))
+    (tmp_path / "b.vcf").write_text(HEAD.replace("Integer", "Float").replace("Number=1", "Number=.") + COLUMNS + "C\n" + line(2, "DP=0.5,2", "1/1"))
+    (tmp_path / "b2.vcf").write_text(line(3, "DP=7", "0/0"))
+    (tmp_path / "c.vcf").write_text(COLUMNS.replace("\tFORMAT\t", "\n") + "1\t4\t.\tA\tC\t.\t.\tDP=1\n")
+    found = {r["start"]: r for r in parse_variant_files(spark, str(tmp_path)).collect()}
+    assert [found[i]["INFO_DP"] for i in range(4)] == [[3.0], [0.5, 2.0], [7.0], [1.0]]
+    assert [[g["sampleId"] for g in found[i]["genotypes"] or []] for i in range(4)] == [["A", "B"], ["C"], ["C"], []]
+    assert "genotypes" not in parse_variant_files(spark, str(tmp_path), genotypes=False).columns
+
+
+def test_genotypes_without_names_fail(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text(HEAD + line(1, "DP=3", "0/1"))
+    with pytest.raises(Exception, match="no #CHROM line"):
+        parse_variant_files(spark, str(tmp_path)).collect()
+
+
+def test_one_file_with_two_sample_lines_fails(spark, tmp_path):
+    (tmp_path / "a.vcf").write_text(COLUMNS + "A\n" + COLUMNS + "B\n")
+    with pytest.raises(Exception, match="different #CHROM lines"):
+        file_samples(spark, str(tmp_path)).collect()
+
+
+def test_widened_fields(spark, tmp_path):
+    def field(kind, is_array=False):
+        return HeaderField("X", kind, is_array)
+
+    assert widened(field("int"), field("double", True)) == field("double", True)
+    assert widened(field("int"), field("string")) == field("string")
+    assert widened(field("boolean"), field("boolean")) == field("boolean")
+    with pytest.raises(ValueError, match="flag"):
+        widened(field("boolean"), field("int"))
+    (tmp_path / "a.vcf").write_text(HEAD + HEAD.replace("DP", "AF"))
+    (tmp_path / "b.vcf").write_text("")
+    assert [f.key for f in merged_header(spark, str(tmp_path)).info] == ["DP", "AF"]
+
+
 def test_pipe_keeps_bytes(spark):
     rows = ["a\rb", "c\r", "d\x85e", ""]
     frame = spark.createDataFrame([(r,) for r in rows], "row string").coalesce(1)
