@@ -9,6 +9,9 @@ kept and never stand for a group of others. Rows that repeat with id and text ar
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,12 +24,26 @@ WORDS, PERCENT = 5, 80
 REPEATED_BYTES = 200
 
 
+def _own_columns(stage: Callable) -> Callable:
+    """The stage with all columns it has no use for under names of their own, so that none clashes with those it adds."""
+
+    @wraps(stage)
+    def renamed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in ("doc_id", "text", "n_chars") else f"_in{i}" for i, c in enumerate(docs.columns)}
+        kept = stage(spark, docs.select(*(column(c).alias(n) for c, n in names.items())), sf_dir)
+        return kept.select(*(column(n).alias(c) for c, n in names.items()))
+
+    return renamed
+
+
+@_own_columns
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score of being toxic is below ``TOXIC_FROM``."""
     scored = toxicity.score_toxicity(docs, docs, table(spark, sf_dir, "labels"))
     return scored.filter(F.col("score") < TOXIC_FROM).select(*(column(c) for c in docs.columns))
 
 
+@_own_columns
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group linked by n-gram similarity."""
     found = ngramjoin.near_duplicates(docs, WORDS, PERCENT)
@@ -50,6 +67,7 @@ def _without_spans(data: bytes, spans: list[tuple[int, int]]) -> tuple[str]:
     return (suffixarray.kept_bytes(data, [(a, b) for a, b in whole if a < b]).decode("utf-8", "replace"),)
 
 
+@_own_columns
 def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the strings of ``REPEATED_BYTES`` bytes or more that occur again."""
     spans = suffixarray.repeated_spans(docs, REPEATED_BYTES)
@@ -61,6 +79,7 @@ def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return rows.withColumns(new).select(*(column(c) for c in docs.columns))
 
 
+@_own_columns
 def reject_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
     matched = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
