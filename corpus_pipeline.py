@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from locusframe.llm import decontamination, ngramjoin, packing, suffixarray, toxicity
-from locusframe.llm.common import column, stored, table
+from locusframe.llm.common import column, marked, stored, table
 
 TOXIC_FROM = 0.5
 WORDS, PERCENT = 5, 80
@@ -72,11 +72,13 @@ def cut_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, without the strings of ``REPEATED_BYTES`` bytes or more that occur again."""
     spans = suffixarray.repeated_spans(docs, REPEATED_BYTES)
     changed = suffixarray.per_text(docs, spans, _without_spans, "cut string").withColumnRenamed("th", "_th")
-    rows = docs.join(changed, F.xxhash64("text") == F.col("_th"), "left")
+    # Only rows whose text may have spans are shuffled.
+    touched, rest = (marked(docs, F.xxhash64("text"), spans.select("th"), inside) for inside in (True, False))
+    rows = touched.join(changed, F.xxhash64("text") == F.col("_th"), "left")
     new = {"text": F.coalesce("cut", "text")}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(F.col("cut").isNotNull(), F.length("cut").cast("long")).otherwise(F.col("n_chars"))
-    return rows.withColumns(new).select(*(column(c) for c in docs.columns))
+    return rows.withColumns(new).select(*(column(c) for c in docs.columns)).union(rest)
 
 
 @_own_columns

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from locusframe.llm.common import column, stored
+from locusframe.llm.common import column, marked, release, stored
 from locusframe.llm.ngramjoin import mixed
 
 _BASE = 0x9E3779B97F4A7C15
@@ -298,7 +298,7 @@ def narrowed(contexts: DataFrame, length: int, gram: int, most: int) -> tuple[Da
     steps = sorted({-(-starts // 2), -(-starts // 12), 1}, reverse=True)
     bytes_ = lambda first, stop: F.substring("bytes", first + 1, stop - first)
     active = contexts.withColumns({"a": F.lit(0), "b": F.lit(left)})
-    small, spans = [], []
+    rounds, spans = [], []
     for step in steps:
         cut = active.withColumn("a", F.explode(F.sequence("a", "b", F.lit(step))))
         cut = cut.withColumn("b", F.least("b", F.col("a") + step - 1))
@@ -308,17 +308,22 @@ def narrowed(contexts: DataFrame, length: int, gram: int, most: int) -> tuple[Da
         equal = counted(cut, ["h", "reach"], ["th", "p"])
         first, last = F.greatest("a", "low"), F.least("b", F.col("high") - length)
         again = equal.filter((F.col("n") > 1) & (F.col("m") == 1)).filter(first <= last)
-        spans.append(again.select("th", (F.col("p") - left + first).alias("start"), (F.col("p") - left + last + length).alias("stop")))
+        again = again.select("th", (F.col("p") - left + first).alias("start"), (F.col("p") - left + last + length).alias("stop"))
+        spans.append(stored(again, "equal-spans"))
         one = F.min(F.struct("th", "p", "low", "high")).alias("one")
         unlike = cut.groupBy("h", "reach", "a", "b").agg(one, (F.sum("m")).alias("m"))
         unlike = stored(unlike.select("h", "a", "b", "m", "one.*"), "unlike")
+        release(cut)
         groups = stored(counted(unlike, ["h"], ["th", "p"]).filter("n > 1"), "groups")
-        small.append(groups.filter(F.col("n") <= most).drop("n"))
+        release(unlike)
+        rounds.append(groups)
         crowded = groups.filter(F.col("n") > most)
         if crowded.isEmpty():
             break
         active = crowded.select("th", "p", "a", "b", "m").join(contexts.select("th", "p", "low", "high", "bytes"), ["th", "p"])
-    return reduce(DataFrame.unionByName, small), spans
+    small = stored(reduce(DataFrame.unionByName, rounds).filter(F.col("n") <= most).drop("n"), "small-groups")
+    release(*rounds)
+    return small, spans
 
 
 def united(spans, size: int) -> list[tuple[int, int]]:
@@ -333,16 +338,22 @@ def united(spans, size: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def distinct_texts(documents: DataFrame, text: str) -> DataFrame:
-    """(th, text) of the distinct texts that are not null; copies in one task go before the shuffle."""
-    rows = documents.select(column(text).alias("text")).filter("text IS NOT NULL")
-    return rows.select(F.xxhash64("text").alias("th"), "text").dropDuplicates(["th"])
+def distinct_texts(documents: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
+    """(th, text) of the distinct texts that are not null and of which ``wanted`` has the ``th``, and of some others.
+
+    Texts that are not wanted and copies in one task go before the shuffle.
+    """
+    rows = documents.select(column(text).alias("text")).filter("text IS NOT NULL").select(F.xxhash64("text").alias("th"), "text")
+    return marked(rows, F.col("th"), wanted.select("th")).dropDuplicates(["th"])
 
 
 def repeated_spans(
     documents: DataFrame, length: int = 200, gram: int = 100, text: str = "text", contexts_per_block: int = 20_000
 ) -> DataFrame:
-    """(th, spans): for distinct texts with repeated strings, (start, stop) spans that cover them, not yet united."""
+    """(th, spans): for distinct texts with repeated strings, (start, stop) spans that cover them, not yet united.
+
+    The rows are stored; the tables they were made of are released.
+    """
     left, width = length - gram, 2 * length - gram
 
     def anchors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -379,6 +390,7 @@ def repeated_spans(
     rows = rows.withColumns({"least": F.min("m").over(gram_rows), "low": F.min("c").over(gram_rows), "high": F.max("c").over(gram_rows)})
     unlike = F.coalesce(F.col("heavy"), (F.col("least") == 1) & (F.col("low") != F.col("high")))
     live = stored(rows.select("h", "c", "th", "p", "m", unlike.alias("unlike")), "anchors")
+    release(met, grams, sums)
     needed = live.filter("unlike").groupBy("h", "c").agg(F.min(F.struct("th", "p")).alias("at"), F.max("m").alias("m"))
     needed = needed.select("at.th", "at.p", "m")
 
@@ -395,11 +407,11 @@ def repeated_spans(
                     out.append((th, p, e["m"], low, high, piece))
             yield pd.DataFrame(out, columns=["th", "p", "m", "low", "high", "bytes"])
 
-    wanted = needed.groupBy("th").agg(F.collect_list(F.struct("p", "m")).alias("list"))
+    wanted = stored(needed.groupBy("th").agg(F.collect_list(F.struct("p", "m")).alias("list")), "wanted")
     kind = "th long, p long, m long, low int, high int, bytes binary"
-    contexts = stored(distinct_texts(documents, text).join(wanted, "th").mapInPandas(cut, kind), "contexts")
+    contexts = stored(distinct_texts(documents, text, wanted).join(wanted, "th").mapInPandas(cut, kind), "contexts")
+    release(wanted)
     groups, equal = narrowed(contexts, length, gram, max(1, contexts_per_block // 10))
-    groups = stored(groups, "small-groups")
     blocks = max(1, groups.count() // contexts_per_block)
     block = F.pmod(F.xxhash64("h", F.lit(8)), F.lit(blocks)).alias("block")
     found = groups.join(contexts.select("th", "p", "bytes"), ["th", "p"]).withColumn("block", block).groupBy("block").applyInPandas(
@@ -408,7 +420,9 @@ def repeated_spans(
     found = reduce(DataFrame.union, equal, found)
     whole = live.filter("m > 1").select("th", F.greatest(F.col("p") - left, F.lit(0)).alias("start"), (F.col("p") + length).alias("stop"))
     spans = found.union(whole)
-    return spans.groupBy("th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
+    spans = stored(spans.groupBy("th").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    release(live, contexts, groups, *equal)
+    return spans
 
 
 def per_text(documents: DataFrame, spans: DataFrame, make, kind: str, text: str = "text") -> DataFrame:
@@ -422,7 +436,7 @@ def per_text(documents: DataFrame, spans: DataFrame, make, kind: str, text: str
                 out.append((th, *make(data, united([(s["start"], s["stop"]) for s in found], len(data)))))
             yield pd.DataFrame(out, columns=["th", *(c.split()[0] for c in kind.split(", "))])
 
-    return distinct_texts(documents, text).join(spans, "th").mapInPandas(run, f"th long, {kind}")
+    return distinct_texts(documents, text, spans).join(spans, "th").mapInPandas(run, f"th long, {kind}")
 
 
 def kept_bytes(data: bytes, spans: list[tuple[int, int]]) -> bytes:
