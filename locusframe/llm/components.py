@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusframe.llm.common import stored
+from locusframe.llm.common import release, stored
 
 #: Nodes that a task joins at a time; only the number of rounds depends on it.
 LOCAL_NODES = 300_000
@@ -78,8 +78,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
         # Read back, small files share tasks, so that more is contracted at once.
         starred = stored(small.filter("u != v").distinct(), label)
+        release(state)
         state = stored(_contracted(starred).distinct(), label)
+        release(starred)
     if fits:
-        state = stored(_contracted(state.coalesce(1)), label)
+        before, state = state, stored(_contracted(state.coalesce(1)), label)
+        release(before)
     nodes = state.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.union(state.select("v", "v").distinct())

@@ -11,9 +11,10 @@ sequence as one. Equal sets are one class and travel once.
 3. Filters. A pair in a group counts if the sizes allow the threshold and if the positions leave enough
    n-grams for the overlap needed.
 4. First round. A group's classes are put in order of size, and neighbours are verified: a line through the
-   group, not all its pairs. Only pairs that pass the suffix filter of step 5 have their sets sent. Components of the
-   links found follow.
-5. Second round. Groups that still hold several components are open. Classes that meet in open groups form
+   group, not all its pairs. Only pairs that pass the suffix filter of step 5 have their sets made again from the texts
+   and sent. Components of the links found follow.
+5. Second round. Groups of three classes or more that still hold several components are open; the only pair of a smaller
+   one is a line. Classes that meet in open groups form
    arenas. An arena's classes are sent once, or for a large arena once per part, to cells of bounded mean size, each with its
    n-grams of open groups and a count of its n-grams by ranges of hashes, not with its set.
    A cell meets pairs of different components by these n-grams, with the filters of step 3 and the suffix filter: the
@@ -39,12 +40,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from locusframe.llm.common import column, stored
+from locusframe.llm.common import column, marked, release, stored
 from locusframe.llm.components import components
 
 COUNTERS = 1 << 20
-#: Bits that name the rows whose sets are needed; 2 MB.
-MARKS = 1 << 24
 #: Ranges of hashes by which sets are compared before they are fetched.
 RANGES = 256
 #: Candidates of a class that are verified in the first round; each further round takes four times as many.
@@ -161,13 +160,15 @@ def gram_counts(documents: DataFrame, n: int) -> np.ndarray:
                 total += np.bincount(places.astype(np.int64), minlength=COUNTERS).astype(np.uint32)
                 some = True
         if some:
-            yield pd.DataFrame({"chunk": range(_CHUNKS), "counts": [c.tobytes() for c in total.reshape(_CHUNKS, size)]})
+            # As narrow as the counts allow; the length tells the type.
+            narrow = [c.astype(np.min_scalar_type(c.max())) for c in total.reshape(_CHUNKS, size)]
+            yield pd.DataFrame({"chunk": range(_CHUNKS), "counts": [c.tobytes() for c in narrow]})
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
         for frame in frames:
             for chunk, counts in zip(frame["chunk"], frame["counts"], strict=True):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
+                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, f"u{len(counts) // size}").astype(np.int64)
         yield pd.DataFrame({"chunk": list(sums), "counts": [c.tobytes() for c in sums.values()]})
 
     kind = "chunk int, counts binary"
@@ -179,58 +180,54 @@ def gram_counts(documents: DataFrame, n: int) -> np.ndarray:
 
 
 def prefixes(documents: DataFrame, n: int, percent: int, counts) -> DataFrame:
-    """(id, n, cid, prefix) of the rows; a task gives the prefix of a class once, then empty ones."""
+    """(id, n, cid, prefix, spread) of the rows; a task gives the prefix and spread of a class once, then empty ones."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, table, met = Shingler(n), counts.value, set()
         for frame in frames:
-            sizes, names, firsts = [], [], []
+            sizes, names, firsts, spreads = [], [], [], []
             for i in range(0, len(frame), 2000):
                 for grams in shingler.sets(frame["_text"].iloc[i : i + 2000].tolist()):
                     size, name = len(grams), class_of(grams)
                     kept = size - -(-percent * size // 100) + 1 if size and name not in met else 0
                     met.add(name)
+                    spreads.append(spread_of(grams) if kept else None)
                     if kept:
                         grams = rarest(grams, table, kept)
                     sizes.append(size)
                     names.append(name)
                     firsts.append(grams[:kept].astype(np.int64))
-            yield pd.DataFrame({"_id": frame["_id"], "n": sizes, "cid": names, "prefix": firsts})
+            yield pd.DataFrame({"_id": frame["_id"], "n": sizes, "cid": names, "prefix": firsts, "spread": spreads})
 
     id_type = documents.schema["_id"].dataType.simpleString()
-    return documents.mapInPandas(run, f"_id {id_type}, n long, cid long, prefix array<long>")
+    return documents.mapInPandas(run, f"_id {id_type}, n long, cid long, prefix array<long>, spread binary")
 
 
-def id_marks(ids: DataFrame) -> dict[int, bytes]:
-    """Bits of the hashes of the ids ``_id``, by block of 32,768: a table of fixed size, whatever the number of ids."""
-    place = F.pmod(F.xxhash64("_id"), F.lit(MARKS)) + 1
-    blocks = ids.select(F.bitmap_bucket_number(place).alias("block"), F.bitmap_bit_position(place).alias("bit"))
-    return {r["block"]: bytes(r["bits"]) for r in blocks.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()}
+def class_sets(documents: DataFrame, rows: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(cid, grams) of the classes ``wanted``, made again from one row's text; a class may come twice, and others come along.
 
-
-def class_sets(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(cid, grams, spread) of the classes of which ``wanted`` names one row's id; a class may come twice, and others come along.
-
-    Texts are not shuffled: each task knows the wanted ids by bits of their hashes, which let some others pass.
+    Texts are not shuffled: each task knows the ids by bits of their hashes, which let some others pass.
     """
-    marks = documents.sparkSession.sparkContext.broadcast(id_marks(wanted))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler = Shingler(n)
-        bits = np.zeros(MARKS // 8, np.uint8)
-        for block, some in marks.value.items():
-            bits[(block - 1) * 4096 : block * 4096] = np.frombuffer(some, np.uint8)
         for frame in frames:
-            place = frame["place"].to_numpy()
-            texts = frame["_text"].to_numpy()[(bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1]
-            for i in range(0, len(texts), 2000):
-                sets = [s for s in shingler.sets(texts[i : i + 2000].tolist()) if len(s)]
-                columns = {"cid": [class_of(s) for s in sets], "grams": [s.tobytes() for s in sets], "spread": [spread_of(s) for s in sets]}
-                yield pd.DataFrame(columns)
+            for i in range(0, len(frame), 2000):
+                sets = [s for s in shingler.sets(frame["_text"].iloc[i : i + 2000].tolist()) if len(s)]
+                yield pd.DataFrame({"cid": [class_of(s) for s in sets], "grams": [s.tobytes() for s in sets]})
+
+    some = marked(rows.filter("n > 0").select("cid", "_id"), F.col("cid"), wanted).join(wanted, "cid", "left_semi")
+    ids = some.groupBy("cid").agg(F.min("_id").alias("_id")).select("_id")
+    return marked(documents, F.col("_id"), ids).select("_text").mapInPandas(run, "cid long, grams binary")
+
+
+def class_spreads(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(cid, spread) of the classes ``wanted`` and some others."""
+    return marked(rows.filter("spread IS NOT NULL").select("cid", "spread"), F.col("cid"), wanted).dropDuplicates(["cid"])
+
 
-    # Places and bits as ``bitmap_bit_position`` counts them.
-    place = F.pmod(F.xxhash64("_id"), F.lit(MARKS)).alias("place")
-    return documents.select("_text", place).mapInPandas(run, "cid long, grams binary, spread binary")
+def ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
 
 
 def reaches(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -250,8 +247,8 @@ def rarest(grams: np.ndarray, table: np.ndarray, count: int) -> np.ndarray:
     return grams[np.lexsort((grams, rare))[:count]]
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose sets reach the threshold."""
+def verified(pairs: DataFrame, documents: DataFrame, rows: DataFrame, n: int, percent: int) -> DataFrame:
+    """The stored pairs (a, b) of classes whose sets reach the threshold."""
 
     @F.pandas_udf("boolean")
     def linked(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -267,16 +264,19 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             out.append(reaches(x, y, percent))
         return pd.Series(out, dtype=bool)
 
+    wanted = stored(ends(pairs), "ends")
+    sets = class_sets(documents, rows, wanted, n)
     if pairs.count() <= BROADCAST_PAIRS:
-        ends = pairs.select(F.col("a").alias("end")).union(pairs.select("b")).distinct()
-        sets = sets.join(F.broadcast(ends), F.col("cid") == F.col("end"), "left_semi")
-    sets = sets.dropDuplicates(["cid"])
+        sets = sets.join(F.broadcast(wanted), "cid", "left_semi")
+    sets = stored(sets.dropDuplicates(["cid"]), "sets")
     one = sets.select(F.col("cid").alias("a"), F.col("grams").alias("left"))
     two = sets.select(F.col("cid").alias("b"), F.col("grams").alias("right"))
-    return pairs.join(one, "a").join(two, "b").filter(linked("left", "right")).select("a", "b").distinct()
+    links = stored(pairs.join(one, "a").join(two, "b").filter(linked("left", "right")).select("a", "b").distinct(), "verified")
+    release(wanted, sets)
+    return links
 
 
-def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def alike(pairs: DataFrame, spreads: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b, total size) whose counts by ranges of hashes allow the threshold; sets do not travel for this."""
 
     @F.pandas_udf("long")
@@ -284,7 +284,6 @@ def alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, RANGES).astype(np.int16) for s in (left, right))
         return pd.Series(np.abs(x - y).sum(1, dtype=np.int64))
 
-    spreads = sets.select("cid", "spread").dropDuplicates(["cid"])
     one = spreads.select(F.col("cid").alias("a"), F.col("spread").alias("left"))
     two = spreads.select(F.col("cid").alias("b"), F.col("spread").alias("right"))
     # Sets at the threshold differ in at most (nx + ny) (1 - t) / (1 + t) n-grams.
@@ -366,36 +365,38 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
     rows = stored(prefixes(documents, n, percent, counts), "prefixes")
     grams = rows.filter(F.size("prefix") > 0).select("cid", "n", F.posexplode("prefix").alias("pos", "h"))
     order = Window.partitionBy("h").orderBy("n", "cid")
+    # Copies of a class from several tasks stand next to each other.
+    once = grams.withColumn("before", F.lag("cid").over(order)).filter("before IS NULL OR before != cid").drop("before")
+    met = once.withColumn("classes", F.count(F.lit(1)).over(Window.partitionBy("h"))).filter("classes > 1")
     near = {}
     for name, step in (("down", F.lag), ("up", F.lead)):
         near[name] = step(F.struct("cid", "n", "pos")).over(order)
-    lined = grams.withColumns(near)
-    together = [
-        f"coalesce({s}.cid != cid AND 100 * least({s}.n, n) >= {percent} * greatest({s}.n, n), false)" for s in near
-    ]
-    same = [f"coalesce({s}.cid = cid, false)" for s in near]
-    # Copies of a class from several tasks stand next to each other; a row between two of them is kept, too.
-    live = stored(lined.filter(" OR ".join(together + same)).select("h", "cid", "n", "pos", "down"), "shared-grams")
+    together = [f"({s}.n IS NOT NULL AND 100 * least({s}.n, n) >= {percent} * greatest({s}.n, n))" for s in near]
+    lined = met.withColumns(near).filter(" OR ".join(together))
+    live = stored(lined.select("h", "cid", "n", "pos", "classes", "down"), "shared-grams")
     line = live.filter(together[0]).selectExpr(
         "down.cid x", "down.n x_n", "down.pos x_pos", "cid y", "n y_n", "pos y_pos"
     )
-    pairs = line.filter(_fits(percent)).selectExpr("least(x, y) a", "greatest(x, y) b", "x_n + y_n total").distinct()
-    groups = live.groupBy("h").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).filter("low != high").select("h")
-    live = live.select("h", "cid", "n", "pos").distinct().join(groups, "h", "left_semi")
-    ids = rows.filter("n > 0").groupBy("cid").agg(F.min("_id").alias("_id"))
-    wanted = live.select("cid").distinct().join(ids, "cid")
-    sets = stored(class_sets(documents, wanted, n), "sets")
-    links = stored(verified(stored(alike(pairs, sets, percent), "pairs"), sets, percent), "links")
+    pairs = stored(line.filter(_fits(percent)).selectExpr("least(x, y) a", "greatest(x, y) b", "x_n + y_n total").distinct(), "lines")
+    near_pairs = stored(alike(pairs, class_spreads(rows, ends(pairs)), percent), "pairs")
+    links = verified(near_pairs, documents, rows, n, percent)
+    release(pairs, near_pairs)
     component = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = live.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    # The only pair of a group of two classes is a line.
+    named = live.filter("classes > 2").select("h", "cid", "n", "pos")
+    named = named.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    named = stored(named, "named-grams")
+    release(live)
     spans = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("v"))
     open_ = stored(named.join(spans.filter("low != high").select("h", "v"), "h"), "open-grams")
+    release(named)
     # Classes that meet in open groups, directly or over others, are one arena.
     arena = components(open_.select(F.col("cid").alias("u"), "v")).select(F.col("node").alias("cid"), F.col("component").alias("arena"))
     lists = open_.groupBy("cid").agg(F.first("n").alias("n"), F.array_sort(F.collect_set(F.struct("pos", "h"))).alias("open"))
     classes = lists.select("cid", "n", F.col("open.h").alias("hs"), F.col("open.pos").alias("ps"))
-    spreads = sets.select("cid", "spread").dropDuplicates(["cid"])
+    spreads = class_spreads(rows, open_.select("cid"))
     classes = stored(classes.join(spreads, "cid").join(arena, "cid"), "classes")
+    release(open_)
     totals = stored(classes.groupBy("arena").agg(F.sum(F.size("hs") * 12 + RANGES).alias("bytes")), "arenas")
     # Small arenas share cells; no n-gram of one is in another.
     shared_cells = -(-(totals.agg(F.sum("bytes")).first()[0] or 0) // CELL_BYTES) + 1
@@ -411,10 +412,15 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
         )
         found = cells.groupBy("cell", "many", "i", "j").applyInPandas(_cell_candidates(percent, most), "a long, b long, more boolean")
         found = stored(found.distinct(), "candidates")
-        links = stored(links.union(verified(found.filter("NOT more").select("a", "b"), sets, percent)).distinct(), "links")
+        before, more = links, not found.filter("more").isEmpty()
+        new = verified(found.filter("NOT more").select("a", "b"), documents, rows, n, percent)
+        links = stored(before.union(new).distinct(), "links")
+        release(before, new, found)
         component = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        if found.filter("more").isEmpty():
-            return rows, links, component
+        if not more:
+            members = stored(rows.select("_id", "n", "cid"), "members")
+            release(rows, classes, totals)
+            return members, links, component
         most *= 4
 
 

@@ -9,7 +9,7 @@ from pyarrow import parquet
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from locusframe.llm import common, suffixarray
+from locusframe.llm import common, components, ngramjoin, suffixarray
 
 
 def words(chance: random.Random, count: int) -> list[str]:
@@ -40,6 +40,31 @@ def test_cut_keeps_only_its_spans(spark, sf, tables):
     assert all(0 < len(kept[i]) < 420 for i in (4, 5, 6, 7))
 
 
+def test_join_keeps_only_its_result(spark, tables):
+    docs = spark.createDataFrame(list(enumerate(similar(random.Random(2)))), "doc_id long, text string")
+    found = ngramjoin.near_duplicates(docs, 4, 85)
+    assert set(tables()) <= {"members", "components", "links"} and "members" in tables()
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {i: 0 if i < 4 or i > 7 else i for i in range(10)}
+
+
+def test_groups_of_two_are_decided_in_the_first_round(spark, monkeypatch):
+    """Pairs below the threshold whose prefixes share n-grams: no group has a third class."""
+    chance, texts, rows = random.Random(3), [], {}
+    for _ in range(20):
+        shared = words(chance, 56)
+        texts += [" ".join(shared + words(chance, 7)) for _ in range(2)]
+
+    def counted(frame, label):
+        back = common.stored(frame, label)
+        rows[label] = max(rows.get(label, 0), back.count())
+        return back
+
+    monkeypatch.setattr(ngramjoin, "stored", counted)
+    found = ngramjoin.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 4, 85)
+    assert rows["shared-grams"] > 0 and rows["open-grams"] == 0
+    assert all(r["doc_id"] == r["component_id"] for r in found.collect())
+
+
 def test_released_tables_are_not_read_as_empty(spark, tables):
     frame = common.stored(spark.range(10).repartition(3), "some")
     common.release(frame)
@@ -57,6 +82,13 @@ def test_marks_have_all_keys(spark):
     assert common.marked(rows, F.col("id"), keys.limit(0)).isEmpty()
 
 
+def test_chains_leave_one_table(spark, tables, monkeypatch):
+    monkeypatch.setattr(components, "LOCAL_NODES", 10)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(200)], "u long, v long").repartition(8)
+    rows = components.components(chain, "chain")
+    assert tables() == ["chain"] and {r["component"] for r in rows.collect()} == {0}
+
+
 def test_texts_without_spans_are_not_shuffled(spark, monkeypatch):
     chance = random.Random(4)
     texts = [" ".join(words(chance, 40)) for _ in range(60)]
