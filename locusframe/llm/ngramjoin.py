@@ -14,11 +14,13 @@ sequence as one. Equal sets are one class and travel once.
    group, not all its pairs. Only pairs that pass the suffix filter of step 5 have their sets made again from the texts
    and sent. Components of the links found follow.
 5. Second round. Groups of three classes or more that still hold several components are open; the only pair of a smaller
-   one is a line. Classes that meet in open groups form
-   arenas. An arena's classes are sent once, or for a large arena once per part, to cells of bounded mean size, each with its
-   n-grams of open groups and a count of its n-grams by ranges of hashes, not with its set.
-   A cell meets pairs of different components by these n-grams, with the filters of step 3 and the suffix filter: the
-   differences of the counts bound what two sets do not share.
+   one is a line. The pairs of an open group of ``SMALL_GROUP`` classes at most are listed, a bounded number for each row, and
+   pass the filters of step 3 and the suffix filter like lines: the differences of two classes' counts of n-grams by
+   ranges of hashes bound what their sets do not share. Classes that meet in larger open groups form arenas. An arena's
+   classes are sent once, or for a large arena once per part, to cells of bounded mean size, each with its n-grams of such
+   groups and its counts, not with its set. An arena that is cheaper to send n-gram by n-gram is dealt as one arena for
+   each: many groups that are joined by few classes, as by chance in much text, do not make all classes meet all others.
+   A cell meets pairs of different components by these n-grams, with the same filters.
 6. Verification. Only sets of the pairs left are fetched and compared whole. A class has a bounded number of
    candidates in a round; while a cell had more, a round with four times as many follows, in which pairs that became one
    component meanwhile are skipped. After the last round every linked pair has been verified, or lies in one component.
@@ -44,14 +46,20 @@ from locusframe.llm.common import column, marked, release, stored
 from locusframe.llm.components import components
 
 COUNTERS = 1 << 20
-#: Ranges of hashes by which sets are compared before they are fetched.
+#: Ranges of hashes by which sets are compared before they are fetched; a set of more than ``RANGE_GRAMS`` for each has more ranges.
 RANGES = 256
+#: Unrelated sets with so many n-grams a range differ by some 0.28 of their size, more than a threshold of 80 % allows.
+RANGE_GRAMS = 16
 #: Candidates of a class that are verified in the first round; each further round takes four times as many.
 FIRST_CANDIDATES = 32
 #: Pairs whose ends are broadcast, 16 bytes each, to pick their sets.
 BROADCAST_PAIRS = 500_000
 #: Bytes of classes in one part of an arena; a cell holds two parts at most.
 CELL_BYTES = 1_500_000
+#: Classes of an open group whose pairs are listed; those of a larger one meet in cells, with their counts by ranges.
+SMALL_GROUP = 32
+#: Bytes of an n-gram of a class in a cell.
+_GRAM_BYTES = 12
 _CHUNKS = 16
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _SPACE = np.zeros(256, bool)
@@ -281,8 +289,7 @@ def alike(pairs: DataFrame, spreads: DataFrame, percent: int) -> DataFrame:
 
     @F.pandas_udf("long")
     def apart(left: pd.Series, right: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, RANGES).astype(np.int16) for s in (left, right))
-        return pd.Series(np.abs(x - y).sum(1, dtype=np.int64))
+        return pd.Series([difference(x, y) for x, y in zip(left, right, strict=True)], dtype="int64")
 
     one = spreads.select(F.col("cid").alias("a"), F.col("spread").alias("left"))
     two = spreads.select(F.col("cid").alias("b"), F.col("spread").alias("right"))
@@ -292,11 +299,22 @@ def alike(pairs: DataFrame, spreads: DataFrame, percent: int) -> DataFrame:
 
 
 def spread_of(grams: np.ndarray) -> bytes:
-    """How many n-grams of a sorted set lie in each of ``RANGES`` ranges of hashes, 255 at most."""
-    counts = np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=RANGES)
+    """How many n-grams of a sorted set lie in each range of hashes, 255 at most; ``RANGES`` times a power of 2 ranges."""
+    bits = max(RANGES - 1, (len(grams) - 1) // RANGE_GRAMS).bit_length()
+    counts = np.bincount((grams >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def folded(spread: bytes, ranges: int) -> np.ndarray:
+    return np.frombuffer(spread, np.uint8).reshape(ranges, -1).sum(1, dtype=np.int64)
+
+
+def difference(x: bytes, y: bytes) -> int:
+    """How many n-grams two sets with these spreads do not share, at least."""
+    ranges = min(len(x), len(y))
+    return int(np.abs(folded(x, ranges) - folded(y, ranges)).sum())
+
+
 def _cell_candidates(percent: int, most: int):
     """Pairs of classes of one cell (parts ``i`` and ``j`` of an arena) that no filter rules out, ``most`` for each class.
 
@@ -309,7 +327,8 @@ def _cell_candidates(percent: int, most: int):
         across = frame["i"].iloc[0] != frame["j"].iloc[0]
         names, component, part = (frame[c].to_numpy() for c in ("cid", "component", "part"))
         size = frame["n"].to_numpy()
-        spread = np.frombuffer(b"".join(frame["spread"]), np.uint8).reshape(-1, RANGES).astype(np.int16)
+        fine = frame["spread"].to_list()
+        spread = np.stack([folded(s, RANGES) for s in fine]).astype(np.int32)
         counts = frame["hs"].map(len).to_numpy()
         first = np.r_[0, np.cumsum(counts)]
         h, pos = np.concatenate(frame["hs"].to_list()), np.concatenate(frame["ps"].to_list()).astype(np.int64)
@@ -342,6 +361,9 @@ def _cell_candidates(percent: int, most: int):
             # Sets at the threshold differ in at most (nx + ny) (1 - t) / (1 + t) n-grams.
             apart = np.abs(spread[y] - spread[x]).sum(1, dtype=np.int64)
             y = y[(100 + percent) * apart <= (100 - percent) * (n + size[y])]
+            if len(fine[x]) > RANGES:
+                apart = np.array([difference(fine[x], fine[k]) for k in y.tolist()], np.int64)
+                y = y[(100 + percent) * apart <= (100 - percent) * (n + size[y])]
             out += [(min(names[x], names[k]), max(names[x], names[k]), False) for k in y[:most].tolist()]
             if len(y) > most:
                 out.append((names[x], names[x], True))
@@ -358,6 +380,36 @@ def _fits(percent: int) -> str:
     )
 
 
+def group_pairs(open_: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, total size) of different components that meet in a group and pass the filters of size and position."""
+    one, two = (open_.selectExpr("h", f"cid {s}", f"n {s}_n", f"pos {s}_pos", f"component {s}_component") for s in "xy")
+    fits = F.expr(f"x < y AND x_component != y_component AND {_fits(percent)}")
+    return one.join(two, "h").filter(fits).selectExpr("x a", "y b", "x_n + y_n total").distinct()
+
+
+def arena_classes(open_: DataFrame, rows: DataFrame) -> DataFrame:
+    """(arena, cid, n, hs, ps, spread) of the rows (h, cid, n, pos, v) of open groups.
+
+    Classes that meet in groups, directly or over others, are one arena. In P parts an arena sends each class P times. If its
+    groups sent one by one, each in parts of its own, are fewer bytes, every group is an arena.
+    """
+    arena = components(open_.select(F.col("cid").alias("u"), "v")).select(F.col("node").alias("cid"), F.col("component").alias("arena"))
+    held = open_.select("h", "cid", "n", "pos").join(arena, "cid")
+    sent = lambda size: size * F.ceil(size / F.lit(CELL_BYTES))
+    groups = held.groupBy("arena", "h").agg(F.count(F.lit(1)).alias("classes"))
+    groups = groups.groupBy("arena").agg(
+        F.sum("classes").alias("grams"), F.sum(sent(F.col("classes") * (_GRAM_BYTES + RANGES))).alias("apart")
+    )
+    sizes = arena.groupBy("arena").agg((F.count(F.lit(1)) * RANGES).alias("counts"))
+    cut = groups.join(sizes, "arena").filter(F.col("apart") < sent(F.col("grams") * _GRAM_BYTES + F.col("counts")))
+    # An arena of one part is never cut, so these are few.
+    held = held.join(F.broadcast(cut.select("arena", F.lit(True).alias("cut"))), "arena", "left")
+    held = held.withColumn("arena", F.when(F.col("cut"), F.col("h")).otherwise(F.col("arena")))
+    lists = held.groupBy("arena", "cid").agg(F.first("n").alias("n"), F.array_sort(F.collect_set(F.struct("pos", "h"))).alias("open"))
+    classes = lists.select("arena", "cid", "n", F.col("open.h").alias("hs"), F.col("open.pos").alias("ps"))
+    return classes.join(class_spreads(rows, open_.select("cid")), "cid")
+
+
 def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(rows, links, component of each linked class) for documents (_id, _text)."""
     context = documents.sparkSession.sparkContext
@@ -387,17 +439,17 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
     named = named.join(component.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     named = stored(named, "named-grams")
     release(live)
-    spans = named.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("v"))
-    open_ = stored(named.join(spans.filter("low != high").select("h", "v"), "h"), "open-grams")
+    spans = named.groupBy("h").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.min("cid").alias("v"), F.count(F.lit(1)).alias("classes")
+    )
+    open_ = stored(named.join(spans.filter("low != high").select("h", "v", "classes"), "h"), "open-grams")
     release(named)
-    # Classes that meet in open groups, directly or over others, are one arena.
-    arena = components(open_.select(F.col("cid").alias("u"), "v")).select(F.col("node").alias("cid"), F.col("component").alias("arena"))
-    lists = open_.groupBy("cid").agg(F.first("n").alias("n"), F.array_sort(F.collect_set(F.struct("pos", "h"))).alias("open"))
-    classes = lists.select("cid", "n", F.col("open.h").alias("hs"), F.col("open.pos").alias("ps"))
-    spreads = class_spreads(rows, open_.select("cid"))
-    classes = stored(classes.join(spreads, "cid").join(arena, "cid"), "classes")
+    pairs = stored(group_pairs(open_.filter(F.col("classes") <= SMALL_GROUP), percent), "group-pairs")
+    few = stored(alike(pairs, class_spreads(rows, ends(pairs)), percent), "few")
+    release(pairs)
+    classes = stored(arena_classes(open_.filter(F.col("classes") > SMALL_GROUP), rows), "classes")
     release(open_)
-    totals = stored(classes.groupBy("arena").agg(F.sum(F.size("hs") * 12 + RANGES).alias("bytes")), "arenas")
+    totals = stored(classes.groupBy("arena").agg(F.sum(F.size("hs") * _GRAM_BYTES + F.length("spread")).alias("bytes")), "arenas")
     # Small arenas share cells; no n-gram of one is in another.
     shared_cells = -(-(totals.agg(F.sum("bytes")).first()[0] or 0) // CELL_BYTES) + 1
     parts = totals.select(F.col("arena").alias("of"), F.ceil(F.col("bytes") / F.lit(CELL_BYTES)).cast("int").alias("parts"))
@@ -413,14 +465,15 @@ def link_components(documents: DataFrame, n: int, percent: int) -> tuple[DataFra
         found = cells.groupBy("cell", "many", "i", "j").applyInPandas(_cell_candidates(percent, most), "a long, b long, more boolean")
         found = stored(found.distinct(), "candidates")
         before, more = links, not found.filter("more").isEmpty()
-        new = verified(found.filter("NOT more").select("a", "b"), documents, rows, n, percent)
+        new = verified(found.filter("NOT more").select("a", "b").union(few).distinct(), documents, rows, n, percent)
         links = stored(before.union(new).distinct(), "links")
-        release(before, new, found)
+        release(before, new, found, few)
         component = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         if not more:
             members = stored(rows.select("_id", "n", "cid"), "members")
             release(rows, classes, totals)
             return members, links, component
+        few = stored(links.limit(0), "few")
         most *= 4
 
 
